@@ -7,6 +7,7 @@ are derived, and run over all of it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from offhours.operators import merge, ordered, profile, slots
 from offhours.plans import calibration, candles, events, gold, profiles, serving
 from offhours.plans.landing import day_report
 from offhours.schemas import GOLD, SILVER_CANDLES, TYPED_EVENTS
-from offhours.session import fresh_folder, prepare
+from offhours.session import fresh_folder, materialize, prepare
 from offhours.sources import documents, exports, feed, lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,7 +44,12 @@ SMOOTHED = profiles.SMOOTHED
 
 
 class Layers:
-    """The layers of the pipeline over one data directory, built on demand."""
+    """The layers of the pipeline over one data directory, built on demand.
+
+    Clean candles are a stored table in practice, and read several times. Here
+    they are checkpointed once, so that no query derives them again from the
+    activity table for each use.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = prepare(spark)
@@ -69,9 +75,9 @@ class Layers:
     def typed_candles(self) -> DataFrame:
         return candles.cast_candles(self.raw_candles)
 
-    @property
+    @cached_property
     def candles(self) -> DataFrame:
-        return candles.clean_candles(self.raw_candles)
+        return materialize(candles.clean_candles(self.raw_candles))
 
     @property
     def slots(self) -> DataFrame:
@@ -129,7 +135,8 @@ def rounded(columns: list[str], digits: int = 6) -> str:
 TYPED_SQL = ", ".join(
     f"CAST({c} AS VARCHAR) AS {c}" if c == "Day" else c for c in TYPED_EVENTS.names
 )
-SILVER_SQL = f"{TYPED_SQL}, {rounded(SCORES)}, {joined('actor_countries')}"
+ROUNDED_SQL = TYPED_SQL.replace("AvgTone", "round(AvgTone, 6) AS AvgTone")
+SILVER_SQL = f"{ROUNDED_SQL}, {rounded(SCORES)}, {joined('actor_countries')}"
 GOLD_ROUND = [f"{c}_sum" for c in SCORES] + [f"{c}_smoothed" for c in SCORES]
 GOLD_ROUND += ["geo_score_raw_max"]
 GOLD_SQL = "SELECT " + ", ".join(
@@ -362,7 +369,7 @@ OLD, LATE = "20240120", "20240115"
 
 @query(
     "upsert_existing_wins",
-    f"""SELECT {TYPED_SQL.replace('NumMentions', 'CAST(NumMentions + CASE WHEN Day >= '
+    f"""SELECT {ROUNDED_SQL.replace('NumMentions', 'CAST(NumMentions + CASE WHEN Day >= '
         "DATE '2024-01-20' THEN 1000 ELSE 0 END AS INTEGER) AS NumMentions")},
         {rounded(SCORES)}, {joined('actor_countries')} FROM silver_events""",
     digits=6,
@@ -593,11 +600,11 @@ NUMBERS = ["Open", "High", "Low", "Close", "Volume"]
 def describe_sql(columns: list[str], source: str, digits: int) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count({c}) AS "count", round(avg({c}), {digits}) AS mean,
-            round(stddev_samp({c}), {digits}) AS std, min({c})::DOUBLE AS min,
+            round(stddev_samp({c}), {digits}) AS std, round(min({c})::DOUBLE, {digits}) AS min,
             round(quantile_cont({c}::DOUBLE, 0.25), {digits}) AS p25,
             round(quantile_cont({c}::DOUBLE, 0.5), {digits}) AS p50,
             round(quantile_cont({c}::DOUBLE, 0.75), {digits}) AS p75,
-            max({c})::DOUBLE AS max FROM {source}"""
+            round(max({c})::DOUBLE, {digits}) AS max FROM {source}"""
         for c in columns
     )
 
@@ -735,7 +742,8 @@ def _(layers):
 
 
 RETURNS_SQL = """
-returns AS (SELECT Datetime, (Close - lag(Close) OVER w) / lag(Close) OVER w * 100 AS return_pct
+returns AS (SELECT Datetime, (Close - lag(Close) OVER w) / nullif(lag(Close) OVER w, 0) * 100
+                    AS return_pct
             FROM silver_candles WINDOW w AS (ORDER BY Datetime))"""
 
 

@@ -118,7 +118,7 @@ unique_candles AS (
 ),
 silver_candles AS (
   SELECT *, round(High - Low, 4) AS Volatility_Range,
-         round((Close - lag(Close) OVER w) / (lag(Close) OVER w) * 100, 4) AS Variation_Pct
+         round((Close - lag(Close) OVER w) / nullif(lag(Close) OVER w, 0) * 100, 4) AS Variation_Pct
   FROM unique_candles WINDOW w AS (ORDER BY Datetime)
 ),
 slots AS (

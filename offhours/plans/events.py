@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,20 +31,28 @@ class EventRules:
     null_tone: float | None = None
 
     def conditions(self) -> dict[str, Column]:
+        """The conditions by name, the cheapest to evaluate first."""
         return {
-            "since": F.col("Day") >= F.lit(self.since).cast("date"),
-            "articles": F.col("NumArticles") >= self.min_articles,
-            "goldstein": F.abs("GoldsteinScale") >= self.min_goldstein,
             "quad_class": F.col("QuadClass") >= self.min_quad_class,
             "root_code": F.col("EventRootCode").isin(*self.root_codes),
+            "articles": F.col("NumArticles") >= self.min_articles,
+            "goldstein": F.abs("GoldsteinScale") >= self.min_goldstein,
+            "since": F.col("Day") >= F.lit(self.since).cast("date"),
         }
 
     def major(self) -> Column:
         """All conditions; an event that lacks one of the values is not major."""
-        since, *others = self.conditions().values()
-        for other in others:
-            since = since & other
-        return since
+        return reduce(Column.__and__, self.conditions().values())
+
+    def possible(self) -> Column:
+        """Raw rows that may pass the date rule, judged by the text of ``Day``.
+
+        Compact dates sort like the dates they stand for. The comparison reaches
+        the Parquet scan, which skips row groups of earlier days unread. Text
+        that starts below the digits (a signed year) is left to the exact rule.
+        """
+        day = F.col("Day")
+        return (day >= self.since.replace("-", "")) | (day < "0")
 
 
 def cast_events(raw: DataFrame) -> DataFrame:
@@ -82,7 +91,7 @@ def clean_events(
     major events are shuffled for the de-duplication, which comes out the same
     as de-duplicating everything first whenever the copies agree.
     """
-    major = cast_events(raw).where(rules.major())
+    major = cast_events(raw.where(rules.possible())).where(rules.major())
     scored = add_scores(keep_one(major, EVENT_KEY), rules.null_tone)
     silver = scored.select(*SILVER_EVENTS.names)
     return silver.orderBy("DATEADDED") if sort else silver

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 _TYPES = {
@@ -103,21 +102,23 @@ DOCUMENTS = _struct(
 )
 
 
-def whole_number(text: Column, kind: T.DataType) -> Column:
-    """Integer from text, digits after a decimal point cut off; null when it is none."""
-    decimal = F.when(text.rlike(r"^\s*[+-]?\d+\.\d*\s*$"), F.substring_index(text, ".", 1))
-    return F.coalesce(text.try_cast(kind), decimal.try_cast(kind))
+# Integer from text: digits after a decimal point are cut off.
+_WHOLE = (
+    "coalesce(try_cast({c} AS {kind}), try_cast(CASE WHEN {c} RLIKE r'^\\s*[+-]?\\d+\\.\\d*\\s*$'"
+    " THEN substring_index({c}, '.', 1) END AS {kind}))"
+)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the schema's columns in order, cast to its types; bad values turn null."""
     have = {f.name: f.dataType for f in df.schema}
 
-    def field(f: T.StructField) -> Column:
+    def field(f: T.StructField) -> str:
+        name, kind = f"`{f.name}`", f.dataType.simpleString()
         if have[f.name] == f.dataType:
-            return F.col(f.name)
+            return name
         if isinstance(have[f.name], T.StringType) and isinstance(f.dataType, T.IntegralType):
-            return whole_number(F.col(f.name), f.dataType).alias(f.name)
-        return F.col(f.name).try_cast(f.dataType).alias(f.name)
+            return f"{_WHOLE.format(c=name, kind=kind)} AS {name}"
+        return f"try_cast({name} AS {kind}) AS {name}"
 
-    return df.select(*[field(f) for f in schema])
+    return df.selectExpr(*[field(f) for f in schema])

@@ -14,7 +14,7 @@ import zipfile
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offhours.functions.moments import floor_slot
@@ -30,77 +30,81 @@ ACTOR_TYPES = ["GOV", "MIL", "BUS"]
 FEED_START = "2024-01-01"
 
 
-def _pick(options: list[str | None], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(o).cast("string") for o in options]), index.cast("int"))
+def _pick(options: list[str | None], index: str) -> str:
+    items = ", ".join("NULL" if o is None else f"'{o}'" for o in options)
+    return f"get(array({items}), CAST({index} AS INT))"
 
 
 def raw_events(activity: DataFrame) -> DataFrame:
     """Raw events: 61 text columns. Every fiftieth arrives twice."""
-    events = activity.where(F.col("event_type") != "purchase")
-    id_ = F.col("event_id")
-    k = F.regexp_extract("props", r"(\d+)", 1).cast("int")
-    slot = floor_slot("ts")
-    articles = k % 20 + 1
-    root = (id_ % 20 + 1).cast("string")
-    actor1, actor2 = _pick(ACTOR1, F.col("user_id") % 8), _pick(ACTOR2, id_ % 5)
+    actor1, actor2 = _pick(ACTOR1, "user_id % 8"), _pick(ACTOR2, "event_id % 5")
     values = {
-        "GlobalEventID": id_,
-        "Day": F.date_format(slot, "yyyyMMdd"),
-        "MonthYear": F.date_format(slot, "yyyyMM"),
-        "Year": F.date_format(slot, "yyyy"),
-        "DATEADDED": F.date_format(slot, "yyyyMMddHHmmss"),
-        "Actor1Code": F.when(id_ % 50 == 7, F.lit("GOVOPC")).otherwise(actor1),
-        "Actor1Name": F.concat(F.lit("ACTOR "), actor1),
+        "GlobalEventID": "event_id",
+        "Day": "date_format(slot, 'yyyyMMdd')",
+        "MonthYear": "date_format(slot, 'yyyyMM')",
+        "Year": "date_format(slot, 'yyyy')",
+        "DATEADDED": "date_format(slot, 'yyyyMMddHHmmss')",
+        "Actor1Code": f"CASE WHEN event_id % 50 = 7 THEN 'GOVOPC' ELSE {actor1} END",
+        "Actor1Name": f"'ACTOR ' || {actor1}",
         "Actor1CountryCode": actor1,
-        "Actor1Type1Code": _pick(ACTOR_TYPES, id_ % 3),
-        "Actor2Code": F.when(id_ % 50 == 9, F.lit("GOVOPC")).otherwise(actor2),
-        "Actor2Name": F.concat(F.lit("ACTOR "), actor2),
+        "Actor1Type1Code": _pick(ACTOR_TYPES, "event_id % 3"),
+        "Actor2Code": f"CASE WHEN event_id % 50 = 9 THEN 'GOVOPC' ELSE {actor2} END",
+        "Actor2Name": f"'ACTOR ' || {actor2}",
         "Actor2CountryCode": actor2,
-        "Actor2Type1Code": _pick(ACTOR_TYPES, id_ % 2),
-        "IsRootEvent": id_ % 2,
-        "EventCode": F.concat(root, F.lit("0")),
-        "EventRootCode": root,
-        "QuadClass": id_ % 4 + 1,
-        "GoldsteinScale": ((id_ * 7) % 41 - 20) / F.lit(2.0),
-        "NumMentions": articles * 3,
-        "NumSources": (articles + 1) / F.lit(2),
-        "NumArticles": articles,
-        "AvgTone": F.when(id_ % 97 != 0, ((id_ * 13) % 201 - 100) / F.lit(3.0)),
-        "ActionGeo_CountryCode": _pick(PLACES, id_ % 7),
-        "ActionGeo_Lat": (id_ % 180 - 90) / F.lit(2.0),
-        "ActionGeo_Long": (id_ % 360 - 180) / F.lit(2.0),
-        "SOURCEURL": F.concat(F.lit("http://news.example/"), id_),
+        "Actor2Type1Code": _pick(ACTOR_TYPES, "event_id % 2"),
+        "IsRootEvent": "event_id % 2",
+        "EventCode": "(event_id % 20 + 1) * 10",
+        "EventRootCode": "event_id % 20 + 1",
+        "QuadClass": "event_id % 4 + 1",
+        "GoldsteinScale": "((event_id * 7) % 41 - 20) / 2",
+        "NumMentions": "articles * 3",
+        "NumSources": "(articles + 1) / 2",
+        "NumArticles": "articles",
+        "AvgTone": "CASE WHEN event_id % 97 <> 0 THEN ((event_id * 13) % 201 - 100) / 3 END",
+        "ActionGeo_CountryCode": _pick(PLACES, "event_id % 7"),
+        "ActionGeo_Lat": "(event_id % 180 - 90) / 2",
+        "ActionGeo_Long": "(event_id % 360 - 180) / 2",
+        "SOURCEURL": "'http://news.example/' || event_id",
     }
-    twice = F.when(id_ % 50 == 0, F.sequence(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    columns = [
-        values.get(c, F.lit(None)).cast("string").alias(c) for c in RAW_EVENT_COLUMNS
-    ]
-    return events.withColumn("_copy", F.explode(twice)).select(*columns)
+    return (
+        activity.where("event_type <> 'purchase'")
+        .withColumn("slot", floor_slot("ts"))
+        .selectExpr(
+            "event_id",
+            "user_id",
+            "slot",
+            "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) % 20 + 1 AS articles",
+            "explode(sequence(0, CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END)) AS copy",
+        )
+        .selectExpr(
+            *[f"CAST({values.get(c, 'NULL')} AS STRING) AS {c}" for c in RAW_EVENT_COLUMNS]
+        )
+    )
 
 
 def raw_candles(activity: DataFrame) -> DataFrame:
     """Raw candles: six text columns. Some arrive twice, some lack a close."""
-    slot = floor_slot("ts")
-    trades = activity.where(F.col("event_type") == "purchase").select(
-        "event_id", "ts", "value", slot.alias("_slot")
+    trades = activity.where("event_type = 'purchase'").select(
+        F.struct("ts", "event_id", "value").alias("trade"), "value", floor_slot("ts").alias("slot")
     )
-    trading = (F.weekday("_slot") < 5) & (F.hour("_slot") < 22)
-    order = F.struct("ts", "event_id", "value")
-    bars = trades.where(trading).groupBy("_slot").agg(
-        F.min(order).getField("value").alias("Open"),
-        F.max("value").alias("High"),
-        F.min("value").alias("Low"),
-        F.max(order).getField("value").alias("Close"),
-        F.count(F.lit(1)).alias("Volume"),
+    bars = trades.where("weekday(slot) < 5 AND hour(slot) < 22").groupBy("slot").agg(
+        F.min("trade").alias("first"),
+        F.max("trade").alias("last"),
+        F.max("value").alias("high"),
+        F.min("value").alias("low"),
+        F.count(F.lit(1)).alias("volume"),
     )
-    number = F.floor(F.unix_seconds("_slot") / 900)
-    twice = F.when(number % 40 == 0, F.sequence(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    closed = F.when(number % 53 != 0, F.col("Close") + F.col("_copy"))
-    shifted = {c: F.col(c) + F.col("_copy") for c in ("Open", "High", "Low")}
-    columns = {**shifted, "Close": closed, "Volume": F.col("Volume")}
-    return bars.withColumn("_copy", F.explode(twice)).select(
-        F.date_format("_slot", "yyyy-MM-dd HH:mm:ss").alias("Datetime"),
-        *[c.cast("string").alias(name) for name, c in columns.items()],
+    return bars.selectExpr(
+        "*",
+        "unix_seconds(slot) DIV 900 AS number",
+        "explode(sequence(0, CASE WHEN unix_seconds(slot) DIV 900 % 40 = 0 THEN 1 ELSE 0 END)) AS copy",
+    ).selectExpr(
+        "date_format(slot, 'yyyy-MM-dd HH:mm:ss') AS Datetime",
+        "CAST(first.value + copy AS STRING) AS Open",
+        "CAST(high + copy AS STRING) AS High",
+        "CAST(low + copy AS STRING) AS Low",
+        "CAST(CASE WHEN number % 53 <> 0 THEN last.value + copy END AS STRING) AS Close",
+        "CAST(volume AS STRING) AS Volume",
     )
 
 
