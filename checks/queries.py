@@ -95,6 +95,11 @@ class Layers:
     def gold(self) -> DataFrame:
         return gold.stress_index(self.candles, self.events)
 
+    @cached_property
+    def stored_gold(self) -> DataFrame:
+        """The index as a stored table, for queries that read it more than once."""
+        return materialize(self.gold)
+
 
 def tidy(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Timestamps without zone, dates and lists as text, doubles rounded if asked."""
@@ -344,9 +349,8 @@ def _(layers):
 )
 def _(layers):
     joined_ = gold.join_periods(layers.candles, slots.smooth_periods(layers.assigned))
-    placed = ordered.with_position(
-        joined_.select("Datetime", "geo_score_raw_smoothed"), "Datetime", "_position"
-    )
+    scores = materialize(joined_.select("Datetime", "geo_score_raw_smoothed"))
+    placed = ordered.with_position(scores, "Datetime", "_position")
     return gold.rolling_score(placed, "_position").drop("_position")
 
 
@@ -520,7 +524,8 @@ width AS (SELECT coalesce((SELECT min(w) FROM unnest([900, 3600, 10800, 43200, 8
     digits=6,
 )
 def _(layers):
-    return serving.average_auto(serving.one_per_candle(layers.gold, ["Volume"]), ["Volume"])
+    volumes = serving.one_per_candle(layers.stored_gold, ["Volume"])
+    return serving.average_auto(volumes, ["Volume"])
 
 
 @query(
@@ -563,7 +568,7 @@ neighbours AS (
     extra=FILL_SQL,
 )
 def _(layers):
-    per_bucket = serving.average_over_time(layers.candle_gold, ["Close"])
+    per_bucket = serving.average_over_time(layers.stored_gold, ["Close"])
     return serving.fill_empty_buckets(per_bucket, ["Close"])
 
 
@@ -578,7 +583,7 @@ def _(layers):
     digits=6,
 )
 def _(layers):
-    per_bucket = serving.average_over_time(layers.candle_gold, ["Close"])
+    per_bucket = serving.average_over_time(layers.stored_gold, ["Close"])
     return serving.fill_series(per_bucket, ["Close"])
 
 

@@ -9,6 +9,10 @@ are de-duplicated or aggregated first), so a day holds at most 86,400 rows at
 one-second resolution, however many raw events stand behind them. The per-day
 table is bounded by the calendar, about 11,000 rows for thirty years; only that
 table is ever ordered as a whole.
+
+Except for ``rolling`` and ``next_open``, the operators read their input twice,
+once for the rows and once for the per-day table, so it should be a stored table
+rather than a long plan.
 """
 
 from __future__ import annotations

@@ -151,21 +151,24 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     A single-valued column gets one unit around its value.
     """
     value = F.col(column).cast("double")
+    low, high = F.col("_bounds.low"), F.col("_bounds.high")
+    start = F.when(high > low, low).otherwise(low - 0.5)
+    width = F.when(high > low, high - low).otherwise(F.lit(1.0)) / bins
     bounds = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
-    spread = bounds["high"] > bounds["low"]
-    low = F.when(spread, bounds["low"]).otherwise(bounds["low"] - 0.5)
-    width = F.when(spread, bounds["high"] - bounds["low"]).otherwise(F.lit(1.0)) / bins
-    bin_of = F.least(F.floor((value - low) / width), F.lit(bins - 1)).cast("int")
+    known = df.where(value.isNotNull() & ~F.isnan(value))
+    place = F.least(F.floor((value - start) / width), F.lit(bins - 1)).cast("int")
     counted = (
-        df.where(value.isNotNull() & ~F.isnan(value))
-        .groupBy(bin_of.alias("bin"))
+        known.select(column, bounds.alias("_bounds"))
+        .groupBy(place.alias("bin"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    spine = df.sparkSession.range(bins).select(
+        F.col("id").cast("int").alias("bin"), bounds.alias("_bounds")
+    )
     return spine.join(counted, "bin", "left").select(
         "bin",
-        (low + F.col("bin") * width).alias("low"),
-        (low + (F.col("bin") + 1) * width).alias("high"),
+        (start + F.col("bin") * width).alias("low"),
+        (start + (F.col("bin") + 1) * width).alias("high"),
         F.coalesce("_n", F.lit(0)).alias("n"),
     )
 
@@ -185,7 +188,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 3) -
     pairs = list(combinations(columns, 2))
     wide = df.agg(
         *[F.round(F.corr(a, b), digits).alias(f"{a}|{b}") for a, b in pairs],
-        *[F.round(F.corr(c, c), digits).alias(f"{c}|{c}") for c in columns],
+        *[F.when(F.min(c) < F.max(c), F.lit(1.0)).alias(f"{c}|{c}") for c in columns],
     )
     cells = [(a, b, f"{a}|{b}") for a, b in pairs]
     cells += [(b, a, name) for a, b, name in cells] + [(c, c, f"{c}|{c}") for c in columns]

@@ -102,10 +102,11 @@ DOCUMENTS = _struct(
 )
 
 
-# Integer from text: digits after a decimal point are cut off.
+# Integer from text: digits after a decimal point are cut off. Texts with a point
+# are told apart first, since a cast that fails costs far more than one that works.
 _WHOLE = (
-    "coalesce(try_cast({c} AS {kind}), try_cast(CASE WHEN {c} RLIKE r'^\\s*[+-]?\\d+\\.\\d*\\s*$'"
-    " THEN substring_index({c}, '.', 1) END AS {kind}))"
+    "try_cast(CASE WHEN NOT contains({c}, '.') THEN {c}"
+    " WHEN {c} RLIKE r'^\\s*[+-]?\\d+\\.\\d*\\s*$' THEN substring_index({c}, '.', 1) END AS {kind})"
 )
 
 
