@@ -564,8 +564,9 @@ neighbours AS (
 
 @query(
     "hist_filled",
-    "SELECT bucket, Close, Close IS NULL AS filled FROM neighbours",
+    "SELECT bucket, round(Close, 6) AS Close, Close IS NULL AS filled FROM neighbours",
     extra=FILL_SQL,
+    digits=6,
 )
 def _(layers):
     per_bucket = serving.average_over_time(layers.stored_gold, ["Close"])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -183,20 +183,25 @@ def value_counts(df: DataFrame, column: str, size: int) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 3) -> DataFrame:
     """Pearson correlation of every pair, over the rows where both are known.
 
-    One pass: each pair is one aggregate; the matrix is read off its row.
+    One pass; the pairs of a row are aggregated map-side, one group per pair. A
+    constant column correlates with nothing (null).
     """
-    pairs = list(combinations(columns, 2))
-    wide = df.agg(
-        *[F.round(F.corr(a, b), digits).alias(f"{a}|{b}") for a, b in pairs],
-        *[F.when(F.min(c) < F.max(c), F.lit(1.0)).alias(f"{c}|{c}") for c in columns],
-    )
-    cells = [(a, b, f"{a}|{b}") for a, b in pairs]
-    cells += [(b, a, name) for a, b, name in cells] + [(c, c, f"{c}|{c}") for c in columns]
+    pairs = combinations_with_replacement(columns, 2)
     entries = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{name}`").alias("r"))
-        for a, b, name in cells
+        F.struct(
+            F.lit(a).alias("a"),
+            F.lit(b).alias("b"),
+            F.when(F.col(b).isNotNull(), F.col(a).cast("double")).alias("x"),
+            F.when(F.col(a).isNotNull(), F.col(b).cast("double")).alias("y"),
+        )
+        for a, b in pairs
     ]
-    return wide.select(F.inline(F.array(*entries)))
+    spread = F.stddev_samp("x") * F.stddev_samp("y")
+    r = F.round(F.try_divide(F.covar_samp("x", "y"), spread), digits).alias("r")
+    upper = df.select(F.inline(F.array(*entries))).groupBy("a", "b").agg(r)
+    lower = F.when(F.col("a") != F.col("b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
+    cells = F.array_compact(F.array(F.struct("a", "b", "r"), lower))
+    return upper.select(F.inline(cells))
 
 
 def score_diagnostics(df: DataFrame, columns: Sequence[str]) -> DataFrame:

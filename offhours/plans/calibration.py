@@ -80,7 +80,9 @@ def with_significance(grid: DataFrame) -> DataFrame:
     """Add the t statistic of the correlation and its two-sided p-value."""
     freedom = F.col("n") - 2
     rho = F.col("spearman_rho")
-    t = rho * F.sqrt(F.try_divide(freedom, (1 - rho) * (1 + rho)))
+    t = F.when(F.abs(rho) >= 1, rho * float("inf")).otherwise(
+        rho * F.sqrt(F.try_divide(freedom, (1 - rho) * (1 + rho)))
+    )
     return grid.withColumn("t", t).withColumn("p_value", p_value("t", freedom.cast("double")))
 
 
