@@ -14,17 +14,17 @@ from __future__ import annotations
 
 import argparse
 import logging
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from offhours import schemas
 from offhours.operators.merge import new_only
-from offhours.operators.profile import time_range
 from offhours.plans.candles import clean_candles, merge_candles
 from offhours.plans.events import EVENT_KEY, EventRules, clean_events
 from offhours.plans.gold import GoldRules, context_start, day_index, stress_index
-from offhours.session import build_session
+from offhours.session import build_session, observed
 from offhours.sources.documents import WriteAccount, write_documents
 from offhours.sources.lake import (
     DAY,
@@ -38,6 +38,20 @@ from offhours.sources.lake import (
 log = logging.getLogger("offhours")
 
 
+def _logged(df: DataFrame, ts: str, write: Callable[[DataFrame], None], label: str) -> int:
+    """Write, and log how many rows of what time range; counted along with the write."""
+    seen = Observation(label)
+    write(
+        df.observe(
+            seen, F.count(F.lit(1)).alias("n"), F.min(ts).alias("first"), F.max(ts).alias("last")
+        )
+    )
+    found = observed(seen)
+    rows = found.get("n", 0)
+    log.info("%s: %d rows from %s to %s", label, rows, found.get("first"), found.get("last"))
+    return rows
+
+
 def events_history(
     spark: SparkSession, raw: str, silver: str, rules: EventRules = EventRules()
 ) -> bool:
@@ -51,7 +65,8 @@ def events_history(
     except MissingTable:
         log.error("nothing landed in %s", raw)
         return False
-    write_whole(clean_events(landed, rules), silver, "DATEADDED")
+    clean = clean_events(landed, rules)
+    _logged(clean, "DATEADDED", lambda df: write_whole(df, silver, "DATEADDED"), "events")
     return True
 
 
@@ -68,9 +83,12 @@ def events_daily(
         log.info("no events landed on %s", day)
         return False
     added = new_only(existing, clean_events(landed, rules), EVENT_KEY)
-    write_days(added, silver, "DATEADDED", mode="append")
-    first, last = time_range(read_table(spark, silver, schemas.SILVER_EVENTS), "DATEADDED").first()
-    log.info("events cover %s to %s", first, last)
+    _logged(
+        added,
+        "DATEADDED",
+        lambda df: write_days(df, silver, "DATEADDED", mode="append"),
+        "events added",
+    )
     return True
 
 
@@ -81,7 +99,8 @@ def candles_history(spark: SparkSession, raw: str, silver: str) -> bool:
     except MissingTable:
         log.error("no candles landed in %s", raw)
         return False
-    write_whole(clean_candles(landed), silver, "Datetime")
+    clean = clean_candles(landed)
+    _logged(clean, "Datetime", lambda df: write_whole(df, silver, "Datetime"), "candles")
     return True
 
 
@@ -109,7 +128,7 @@ def candles_daily(spark: SparkSession, raw: str, silver: str, day: str) -> bool:
     near = existing.where(F.col(DAY).between(lower, upper)).drop(DAY)
     merged = merge_candles(near, landed)
     changed = merged.where(F.to_date("Datetime").between(low, upper))
-    write_days(changed, silver, "Datetime")
+    _logged(changed, "Datetime", lambda df: write_days(df, silver, "Datetime"), "candles replaced")
     return True
 
 
@@ -119,7 +138,8 @@ def index_history(
     """Build the whole index table."""
     c = read_table(spark, candles, schemas.SILVER_CANDLES)
     e = read_table(spark, events, schemas.SILVER_EVENTS)
-    write_whole(stress_index(c, e, rules), gold, "Datetime")
+    index = stress_index(c, e, rules)
+    _logged(index, "Datetime", lambda df: write_whole(df, gold, "Datetime"), "index")
     return True
 
 
@@ -146,11 +166,8 @@ def index_daily(
         return df.where(upto & since).drop(DAY)
 
     fresh = day_index(context(c), context(e), day, rules)
-    if fresh.isEmpty():
-        log.info("no open candle on %s", day)
-        return False
-    write_days(fresh, gold, "Datetime")
-    return True
+    # A day without an open candle gives no rows, which replace nothing.
+    return _logged(fresh, "Datetime", lambda df: write_days(df, gold, "Datetime"), "index day") > 0
 
 
 def serve(spark: SparkSession, gold: str, documents: str) -> WriteAccount:

@@ -21,6 +21,14 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
+def _missing(f: T.StructField) -> Column:
+    """True for null, and for NaN where the type has one."""
+    c = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        return c.isNull() | F.isnan(c)
+    return c.isNull()
+
+
 def _as_rows(one_row: DataFrame, label: str, parts: dict[str, Sequence[str]]) -> DataFrame:
     """Turn one wide row into a row per label; ``parts`` maps a label to its columns."""
     names = [c.split(".", 1)[1] for c in next(iter(parts.values()))]
@@ -37,10 +45,12 @@ def _as_rows(one_row: DataFrame, label: str, parts: dict[str, Sequence[str]]) ->
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample std, min, exact quartiles and max per numeric column.
 
-    All but the quartiles come from one pass that combines map-side.
+    NaN counts as missing. All but the quartiles come from one pass that combines map-side.
     """
     columns = list(columns or numeric_columns(df))
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    doubles = df.select(
+        *[F.when(~_missing(df.schema[c]), F.col(c).cast("double")).alias(c) for c in columns]
+    )
     wanted = {
         "count": F.count,
         "mean": F.avg,
@@ -76,11 +86,11 @@ def time_range(df: DataFrame, ts: str) -> DataFrame:
 
 
 def null_profile(df: DataFrame) -> DataFrame:
-    """Nulls per column, and their share of all cells in percent."""
+    """Missing values (null or NaN) per column, and their share of all cells in percent."""
     columns = df.columns
     wide = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"{c}.missing") for c in columns],
+        *[F.count_if(_missing(f)).alias(f"{f.name}.missing") for f in df.schema],
     )
     total = sum((F.col(f"`{c}.missing`") for c in columns), F.lit(0))
     cells = F.col("_rows") * len(columns)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Settings the results depend on (UTC, ANSI) or that the plans count on (AQE).
 # The number of shuffle partitions is left to the cluster: AQE merges small
@@ -47,7 +48,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current
-    named = context.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
@@ -65,3 +66,15 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, which outlives executors."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def observed(seen: Observation) -> dict:
+    """What an observation counted during a finished write; empty for an empty input.
+
+    When AQE finds out that there are no rows it drops the counting along with
+    the rest of the plan, and asking for the counts fails.
+    """
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}

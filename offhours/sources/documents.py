@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from offhours.plans.serving import as_json, to_documents, with_document_id
 from offhours.schemas import DOCUMENTS
+from offhours.session import observed
 
 
 @dataclass
@@ -62,8 +63,8 @@ def write_documents(gold: DataFrame, path: str, rejects_path: str | None = None)
     as_json(documents).select(
         F.to_json(F.struct("_id", "_source")).alias("value")
     ).write.mode("overwrite").text(path)
-    counts = seen.get
-    account = WriteAccount(counts["success"], counts["errors"])
+    counts = observed(seen)
+    account = WriteAccount(counts.get("success", 0), counts.get("errors", 0))
     if account.errors:
         rejects = gold.where(bad)
         if rejects_path:

@@ -252,6 +252,8 @@ def test_documents_are_written_and_counted(spark, tmp_path):
         assert len(body) == 20 and "geo_score_raw_max" not in body and "Datetime" not in body
         assert body["Variation_Pct"] is None and body["High"] is None and body["Volume"] == 10
     assert len({d["_id"] for d in docs}) == 2
+    none = write_documents(gold.limit(0), str(tmp_path / "none"))
+    assert (none.success, none.errors) == (0, 0)
     again = write_documents(gold, str(tmp_path / "again"))
     ids = {json.loads(r.value)["_id"] for r in spark.read.text(str(tmp_path / "again")).collect()}
     assert again.success == 2 and ids == {d["_id"] for d in docs}
