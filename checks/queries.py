@@ -104,19 +104,19 @@ class Layers:
 def tidy(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Timestamps without zone, dates and lists as text, doubles rounded if asked."""
 
-    def column(f: T.StructField):
-        c = F.col(f"`{f.name}`")
+    def column(f: T.StructField) -> str:
+        c = f"`{f.name}`"
         if isinstance(f.dataType, T.TimestampType):
-            c = c.cast("timestamp_ntz")
-        elif isinstance(f.dataType, T.DateType):
-            c = c.cast("string")
-        elif isinstance(f.dataType, T.ArrayType):
-            c = F.concat_ws("|", c)
-        elif isinstance(f.dataType, T.DoubleType) and digits is not None:
-            c = F.round(c, digits)
-        return c.alias(f.name)
+            return f"CAST({c} AS timestamp_ntz) AS {c}"
+        if isinstance(f.dataType, T.DateType):
+            return f"CAST({c} AS string) AS {c}"
+        if isinstance(f.dataType, T.ArrayType):
+            return f"concat_ws('|', {c}) AS {c}"
+        if isinstance(f.dataType, T.DoubleType) and digits is not None:
+            return f"round({c}, {digits}) AS {c}"
+        return c
 
-    return df.select(*[column(f) for f in df.schema])
+    return df.selectExpr(*[column(f) for f in df.schema])
 
 
 def query(name: str, sql: str | None = None, extra: str = "", digits: int | None = None):
@@ -140,7 +140,9 @@ def rounded(columns: list[str], digits: int = 6) -> str:
 TYPED_SQL = ", ".join(
     f"CAST({c} AS VARCHAR) AS {c}" if c == "Day" else c for c in TYPED_EVENTS.names
 )
-ROUNDED_SQL = TYPED_SQL.replace("AvgTone", "round(AvgTone, 6) AS AvgTone")
+ROUNDED_SQL = TYPED_SQL.replace("AvgTone", "round(AvgTone, 6) AS AvgTone").replace(
+    "GoldsteinScale", "round(GoldsteinScale, 6) AS GoldsteinScale"
+)
 SILVER_SQL = f"{ROUNDED_SQL}, {rounded(SCORES)}, {joined('actor_countries')}"
 GOLD_ROUND = [f"{c}_sum" for c in SCORES] + [f"{c}_smoothed" for c in SCORES]
 GOLD_ROUND += ["geo_score_raw_max"]

@@ -60,7 +60,7 @@ base_events AS (
          CAST((event_id % 20 + 1) * 10 AS INTEGER) AS EventCode,
          CAST(event_id % 20 + 1 AS INTEGER) AS EventRootCode,
          CAST(event_id % 4 + 1 AS INTEGER) AS QuadClass,
-         CAST((event_id * 7) % 41 - 20 AS DOUBLE) / 2.0 AS GoldsteinScale,
+         CAST(((event_id * 7) % 41 - 20) * 20 AS DOUBLE) / 41 AS GoldsteinScale,
          CAST(event_id % 2 AS INTEGER) AS IsRootEvent,
          {pick(PLACES, 'event_id % 7')} AS ActionGeo_CountryCode,
          CAST(event_id % 180 - 90 AS DOUBLE) / 2.0 AS ActionGeo_Lat,
@@ -68,7 +68,7 @@ base_events AS (
          CAST((k % 20 + 1) * 3 AS INTEGER) AS NumMentions,
          CAST((k % 20 + 2) // 2 AS INTEGER) AS NumSources,
          CAST(k % 20 + 1 AS INTEGER) AS NumArticles,
-         CASE WHEN event_id % 97 <> 0 THEN CAST((event_id * 13) % 201 - 100 AS DOUBLE) / 3.0 END
+         CASE WHEN event_id % 97 <> 0 THEN CAST(((event_id * 13) % 201 - 100) * 100 AS DOUBLE) / 397 END
            AS AvgTone
   FROM activity WHERE event_type <> 'purchase'
 ),

@@ -16,12 +16,13 @@ def keep_one(df: DataFrame, keys: Sequence[str], prefer: Sequence[Column] = ())
     the shuffle, so a key that holds a third of all rows does not end up in one
     task, and the choice does not depend on partitioning.
     """
-    rest = [c for c in df.columns if c not in keys]
+    columns = df.columns
+    rest = [c for c in columns if c not in keys]
     order = [p.alias(f"_p{i}") for i, p in enumerate(prefer)]
     if not (rest or order):
         return df.distinct()
     kept = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_kept"))
-    return kept.select(*[c if c in keys else F.col(f"_kept.{c}").alias(c) for c in df.columns])
+    return kept.selectExpr(*[f"`{c}`" if c in keys else f"_kept.`{c}` AS `{c}`" for c in columns])
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -38,13 +38,12 @@ def join_timeline(candles: DataFrame, slots: DataFrame) -> DataFrame:
     A row is open when it has a closing price. Slots without events score 0.
     """
     joined = candles.join(slots, candles["Datetime"] == slots["DATEADDED"], "full_outer")
-    scores = [*SCORE_COLUMNS, "event_count"]
-    return joined.select(
-        F.coalesce("Datetime", "DATEADDED").alias("master_datetime"),
-        F.when(F.col("Close").isNotNull(), 1).otherwise(0).alias("market_open"),
+    return joined.selectExpr(
+        "coalesce(Datetime, DATEADDED) AS master_datetime",
+        "CASE WHEN Close IS NOT NULL THEN 1 ELSE 0 END AS market_open",
         *candles.columns,
-        *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in scores],
-        F.coalesce("actor_countries", F.array().cast("array<string>")).alias("actor_countries"),
+        *[f"coalesce({c}, 0.0D) AS {c}" for c in [*SCORE_COLUMNS, "event_count"]],
+        "coalesce(actor_countries, CAST(array() AS array<string>)) AS actor_countries",
     )
 
 
@@ -54,12 +53,12 @@ def smooth_periods(assigned: DataFrame, alpha: float = 0.25) -> DataFrame:
         F.count(F.lit(1)).alias("gap_duration_15m"),
         F.sum("event_count").alias("total_event_count"),
         worst_countries().alias("period_actor_countries"),
-        *[F.sum(c).alias(f"{c}_sum") for c in SCORE_COLUMNS],
-        *[F.max(c).alias(f"{c}_max") for c in SCORE_COLUMNS],
+        *[F.expr(f"sum({c}) AS {c}_sum") for c in SCORE_COLUMNS],
+        *[F.expr(f"max({c}) AS {c}_max") for c in SCORE_COLUMNS],
     )
     smoothed = {
         f"{c}_smoothed": F.round(
-            hybrid(f"{c}_max", F.col(f"{c}_sum") / F.col("gap_duration_15m"), alpha), 6
+            hybrid(f"{c}_max", F.expr(f"{c}_sum / gap_duration_15m"), alpha), 6
         )
         for c in SCORE_COLUMNS
     }

@@ -56,11 +56,11 @@ def raw_events(activity: DataFrame) -> DataFrame:
         "EventCode": "(event_id % 20 + 1) * 10",
         "EventRootCode": "event_id % 20 + 1",
         "QuadClass": "event_id % 4 + 1",
-        "GoldsteinScale": "((event_id * 7) % 41 - 20) / 2",
+        "GoldsteinScale": "((event_id * 7) % 41 - 20) * 20 / 41",
         "NumMentions": "articles * 3",
         "NumSources": "(articles + 1) / 2",
         "NumArticles": "articles",
-        "AvgTone": "CASE WHEN event_id % 97 <> 0 THEN ((event_id * 13) % 201 - 100) / 3 END",
+        "AvgTone": "CASE WHEN event_id % 97 <> 0 THEN ((event_id * 13) % 201 - 100) * 100 / 397 END",
         "ActionGeo_CountryCode": _pick(PLACES, "event_id % 7"),
         "ActionGeo_Lat": "(event_id % 180 - 90) / 2",
         "ActionGeo_Long": "(event_id % 360 - 180) / 2",
