@@ -1058,7 +1058,29 @@ def _(layers):
     return calibration.best_alphas(grid).select("alpha", "spearman_rho")
 
 
-@query("alpha_significance", digits=6)
+# The two tails of the t distribution, its density integrated by Simpson's rule.
+TAILS_SQL = (
+    grid_sql("candle_gold")
+    + """,
+tested AS (SELECT *, n - 2.0 AS v,
+                  spearman_rho * sqrt((n - 2) / ((1 - spearman_rho) * (1 + spearman_rho))) AS t
+           FROM grid),
+density AS (SELECT alpha, CASE WHEN i % 2000 = 0 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+                          * pow(1 + pow(t * i / 2000.0, 2) / v, -(v + 1) / 2) AS y
+            FROM tested, (SELECT unnest(range(2001)) AS i)),
+area AS (SELECT alpha, sum(y) AS s FROM density GROUP BY alpha)"""
+)
+
+
+@query(
+    "alpha_significance",
+    """SELECT alpha, n, round(spearman_rho, 6) AS spearman_rho, round(t, 6) AS t,
+              round(1 - 2 * abs(t) / 6000 * s * exp(lgamma((v + 1) / 2) - lgamma(v / 2))
+                    / sqrt(v * pi()), 6) AS p_value
+       FROM tested JOIN area USING (alpha)""",
+    extra=TAILS_SQL,
+    digits=6,
+)
 def _(layers):
     grid = calibration.alpha_grid(layers.gold)
     return calibration.with_significance(grid).select("alpha", "n", "spearman_rho", "t", "p_value")
