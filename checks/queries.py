@@ -29,9 +29,10 @@ from offhours.functions import geo
 from offhours.operators import merge, ordered, profile, slots
 from offhours.plans import calibration, candles, events, gold, profiles, serving
 from offhours.plans.landing import day_report
-from offhours.schemas import GOLD, SILVER_CANDLES, TYPED_EVENTS
+from offhours.schemas import GOLD, SILVER_CANDLES, SILVER_EVENTS, TYPED_EVENTS
 from offhours.session import fresh_folder, materialize, prepare
 from offhours.sources import documents, exports, feed, lake
+from offhours.streaming import landed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1144,3 +1145,41 @@ def _(layers):
     path = fresh_folder(layers.spark, "exports")
     layers.raw_events.write.option("sep", "\t").option("header", False).csv(path)
     return events.cast_events(exports.read_tsv(layers.spark, path))
+
+
+# --- stored tables --------------------------------------------------------------------
+
+
+@query("table_rebuild", f"SELECT {SILVER_SQL} FROM silver_events", digits=6)
+def _(layers):
+    path = fresh_folder(layers.spark, "events")
+    lake.write_whole(layers.events, path, "DATEADDED")
+    stored = lake.read_table(layers.spark, path, SILVER_EVENTS)
+    lake.write_whole(stored, path, "DATEADDED")  # a table may replace itself
+    layers.spark.catalog.refreshByPath(path)
+    return lake.read_table(layers.spark, path, SILVER_EVENTS)
+
+
+@query("events_stream", f"SELECT {SILVER_SQL} FROM silver_events", digits=6)
+def _(layers):
+    raw, silver, state = (fresh_folder(layers.spark, n) for n in ("raw", "silver", "state"))
+    layers.raw_events.write.parquet(raw)
+    landed.clean_landed_events(layers.spark, raw, silver, state, RULES).awaitTermination()
+    return lake.read_table(layers.spark, silver, SILVER_EVENTS)
+
+
+@query(
+    "document_sink",
+    """SELECT sha256(strftime(Datetime, '%Y-%m-%dT%H:%M:%SZ') || '|'
+                     || coalesce(period_actor_country, '')) AS "_id",
+              strftime(Datetime, '%Y-%m-%dT%H:%M:%SZ') AS "timestamp", Volume, period_actor_country
+       FROM gold""",
+)
+def _(layers):
+    path = fresh_folder(layers.spark, "documents")
+    documents.write_documents(layers.gold, path)
+    body = "timestamp string, Volume bigint, period_actor_country string"
+    lines = layers.spark.read.text(path).select(
+        F.from_json("value", "_id string, _source string").alias("d")
+    )
+    return lines.select("d._id", F.from_json("d._source", body).alias("s")).select("_id", "s.*")
