@@ -436,7 +436,10 @@ def _(layers):
     return window.select("GlobalEventID", "DATEADDED")
 
 
-@query("day_sink", "SELECT CAST(Datetime AS DATE)::VARCHAR AS day, count(*) AS n FROM silver_candles GROUP BY 1")
+@query(
+    "day_sink",
+    "SELECT CAST(CAST(Datetime AS DATE) AS VARCHAR) AS day, count(*) AS n FROM silver_candles GROUP BY 1",
+)
 def _(layers):
     path = fresh_folder(layers.spark, "day-sink")
     lake.write_days(layers.candles, path, "Datetime")

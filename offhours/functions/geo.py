@@ -47,8 +47,9 @@ def country_weight(code: Column | str, table: dict[str, int] = ISO3_WEIGHT) -> C
 
 def iso3(code: Column | str, keep_unknown: bool) -> Column:
     """ISO3 form of a FIPS2 code; other codes pass through or turn null."""
+    code = F.col(code) if isinstance(code, str) else code
     mapped = lookup(code, FIPS2_TO_ISO3)
-    return F.coalesce(mapped, F.col(code) if isinstance(code, str) else code) if keep_unknown else mapped
+    return F.coalesce(mapped, code) if keep_unknown else mapped
 
 
 def clip01(x: Column) -> Column:

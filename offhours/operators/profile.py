@@ -209,7 +209,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 3) -
     spread = F.stddev_samp("x") * F.stddev_samp("y")
     r = F.round(F.try_divide(F.covar_samp("x", "y"), spread), digits).alias("r")
     upper = df.select(F.inline(F.array(*entries))).groupBy("a", "b").agg(r)
-    lower = F.when(F.col("a") != F.col("b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
+    mirrored = F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r")
+    lower = F.when(F.col("a") != F.col("b"), mirrored)
     cells = F.array_compact(F.array(F.struct("a", "b", "r"), lower))
     return upper.select(F.inline(cells))
 

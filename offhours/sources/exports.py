@@ -84,7 +84,6 @@ def unpack_archives(archives: DataFrame) -> DataFrame:
         except pd.errors.EmptyDataError:
             return
         for chunk in reader:
-            chunk = chunk.astype(object).where(chunk.notna(), None)
             chunk.insert(0, "archive", path)
             chunk.insert(1, "member", member)
             yield chunk
