@@ -25,9 +25,10 @@ def floor_slot(ts: Column | str, seconds: Column | int = SLOT_SECONDS) -> Column
     return F.timestamp_seconds(epoch - F.pmod(epoch, seconds))
 
 
-def day_number(ts: Column | str) -> Column:
-    """Days since 1970-01-01 (UTC): the bucket of the ordered operators."""
-    return F.unix_date(_col(ts).cast("date"))
+def bucket_number(ts: Column | str, seconds: int) -> Column:
+    """Number of the fixed-width bucket (UTC) that holds ``ts``, counted from 1970."""
+    epoch = F.unix_seconds(_col(ts).cast("timestamp"))
+    return F.floor(epoch / F.lit(seconds)).cast("long")
 
 
 def iso8601(ts: Column | str) -> Column:

@@ -8,7 +8,8 @@ Why this holds at scale: the series has one row per timestamp (candles and slots
 are de-duplicated or aggregated first), so a day holds at most 86,400 rows at
 one-second resolution, however many raw events stand behind them. The per-day
 table is bounded by the calendar, about 11,000 rows for thirty years; only that
-table is ever ordered as a whole.
+table is ever ordered as a whole. A series finer than a second takes shorter
+buckets than a day (``bucket_seconds``).
 
 Except for ``rolling`` and ``next_open``, the operators read their input twice,
 once for the rows and once for the per-day table, so it should be a stored table
@@ -22,9 +23,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from offhours.functions.moments import day_number
+from offhours.functions.moments import bucket_number
 
 _DAY = "_day"
+DAY_SECONDS = 86_400
 
 
 def _days(keys: Sequence[str]) -> Window:
@@ -32,14 +34,19 @@ def _days(keys: Sequence[str]) -> Window:
 
 
 def lag_in_time(
-    df: DataFrame, ts: str, value: str, out: str, keys: Sequence[str] = ()
+    df: DataFrame,
+    ts: str,
+    value: str,
+    out: str,
+    keys: Sequence[str] = (),
+    bucket_seconds: int = DAY_SECONDS,
 ) -> DataFrame:
     """Add ``out``: ``value`` of the row before, null on the first row.
 
     The first row of a day takes the last value of the latest earlier day that
     has rows.
     """
-    df = df.withColumn(_DAY, day_number(ts))
+    df = df.withColumn(_DAY, bucket_number(ts, bucket_seconds))
     last_of_day = df.groupBy(*keys, _DAY).agg(F.max(F.struct(ts, value)).alias("_last"))
     carried = last_of_day.select(
         *keys, _DAY, F.lag(f"_last.{value}").over(_days(keys)).alias("_carried")
@@ -55,10 +62,15 @@ def lag_in_time(
 
 
 def lead_in_time(
-    df: DataFrame, ts: str, values: Sequence[str], out: str, keys: Sequence[str] = ()
+    df: DataFrame,
+    ts: str,
+    values: Sequence[str],
+    out: str,
+    keys: Sequence[str] = (),
+    bucket_seconds: int = DAY_SECONDS,
 ) -> DataFrame:
     """Add struct ``out``: timestamp and ``values`` of the row after, null on the last."""
-    df = df.withColumn(_DAY, day_number(ts))
+    df = df.withColumn(_DAY, bucket_number(ts, bucket_seconds))
     payload = F.struct(ts, *values)
     first_of_day = df.groupBy(*keys, _DAY).agg(F.min(payload).alias("_first"))
     carried = first_of_day.select(
@@ -80,6 +92,7 @@ def next_open(
     flag: str = "market_open",
     open_ts: str = "Datetime",
     out: str = "target_open_datetime",
+    bucket_seconds: int = DAY_SECONDS,
 ) -> DataFrame:
     """Add ``out``: the earliest open timestamp at or after the row's own.
 
@@ -94,7 +107,7 @@ def next_open(
     )
     first_open = (
         opens.where(F.col(open_ts).isNotNull())
-        .withColumn(_DAY, day_number(open_ts))
+        .withColumn(_DAY, bucket_number(open_ts, bucket_seconds))
         .groupBy(_DAY)
         .agg(F.min(open_ts).alias("_later_open"))
     )
@@ -106,7 +119,7 @@ def next_open(
     )
     very_first = opens.agg(F.min(open_ts).alias("_first")).scalar()
     return (
-        timeline.withColumn(_DAY, day_number(ts))
+        timeline.withColumn(_DAY, bucket_number(ts, bucket_seconds))
         .withColumn("_same_day", F.min(F.when(F.col(flag) == 1, F.col(ts))).over(inside))
         .join(served, _DAY, "left")
         .withColumn("_very_first", very_first)
@@ -123,10 +136,14 @@ def next_open(
 
 
 def with_position(
-    df: DataFrame, ts: str, out: str = "_pos", keys: Sequence[str] = ()
+    df: DataFrame,
+    ts: str,
+    out: str = "_pos",
+    keys: Sequence[str] = (),
+    bucket_seconds: int = DAY_SECONDS,
 ) -> DataFrame:
     """Add ``out``: 0-based position of the row in time order over the whole series."""
-    df = df.withColumn(_DAY, day_number(ts))
+    df = df.withColumn(_DAY, bucket_number(ts, bucket_seconds))
     per_day = df.groupBy(*keys, _DAY).agg(F.count(F.lit(1)).alias("_n"))
     earlier = _days(keys).rowsBetween(Window.unboundedPreceding, -1)
     before = per_day.select(

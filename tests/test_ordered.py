@@ -43,16 +43,16 @@ def same(a, b):
 
 
 @slow
-@given(some_series)
-def test_lag_lead_and_position(spark, data):
+@given(some_series, st.sampled_from([86_400, 3_600]))
+def test_lag_lead_and_position(spark, data, width):
     df = series(spark, data)
     whole = Window.orderBy("ts")
-    lagged = lag_in_time(df, "ts", "v", "p").select("ts", "p")
+    lagged = lag_in_time(df, "ts", "v", "p", bucket_seconds=width).select("ts", "p")
     assert same(lagged, df.select("ts", F.lag("v").over(whole).alias("p")))
-    led = lead_in_time(df, "ts", ["v"], "n").select("ts", "n.ts", "n.v").toDF("ts", "a", "b")
+    led = lead_in_time(df, "ts", ["v"], "n", bucket_seconds=width).select("ts", "n.ts", "n.v").toDF("ts", "a", "b")
     plain = df.select("ts", F.lead("ts").over(whole).alias("a"), F.lead("v").over(whole).alias("b"))
     assert same(led, plain)
-    placed = with_position(df, "ts", "i").select("ts", "i")
+    placed = with_position(df, "ts", "i", bucket_seconds=width).select("ts", "i")
     plain = df.select("ts", (F.row_number().over(whole) - 1).cast("long").alias("i"))
     assert same(placed, plain)
 
@@ -72,11 +72,11 @@ def test_rolling(spark, data, preceding, extra):
 
 
 @slow
-@given(some_series)
-def test_next_open(spark, data):
+@given(some_series, st.sampled_from([86_400, 3_600]))
+def test_next_open(spark, data, width):
     df = series(spark, data).withColumn("market_open", F.col("v").isNotNull().cast("int"))
     opens = df.where("market_open = 1").select(F.col("ts").alias("Datetime"))
-    got = next_open(df, opens, ts="ts", out="t").select("ts", "t")
+    got = next_open(df, opens, ts="ts", out="t", bucket_seconds=width).select("ts", "t")
     back = Window.orderBy(F.col("ts").desc()).rowsBetween(Window.unboundedPreceding, 0)
     target = F.last(F.when(F.col("market_open") == 1, F.col("ts")), ignorenulls=True).over(back)
     assert same(got, df.select("ts", target.alias("t")))
