@@ -117,19 +117,31 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
         .distinct(),
         "links",
     )
+    before = _digest(links)
     for _ in range(limit):
         large = _star(links.union(links.select("b", "a")), larger=True)
-        new = stored(_star(large, larger=False), "links")
-        same = new.exceptAll(links).isEmpty() and links.exceptAll(new).isEmpty()
-        links = new
-        if same:
+        links = stored(_star(large, larger=False), "links")
+        after = _digest(links)
+        if after == before:
             break
+        before = after
     else:
         raise RuntimeError("components did not settle")
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("component"))
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots).distinct()
 
 
+def _digest(links: DataFrame):
+    """Number of links and two checksums of the set of them."""
+    return tuple(
+        links.agg(
+            F.count(F.lit(1)),
+            F.bit_xor(F.xxhash64("a", "b")),
+            F.bit_xor(F.xxhash64("b", "a")),
+        ).first()
+    )
+
+
 def _star(links: DataFrame, larger: bool) -> DataFrame:
     """Link the neighbours of each node to the smallest of them and of itself.
 
