@@ -183,7 +183,8 @@ def near_vectors(
     of the same length; the score is the inner product in double precision, summed
     from the first component to the last. Equal scores go by smaller id.
 
-    Each of the ``curves`` orders is cut into ``ranges`` ranges, and a query sees
+    Each of the ``curves`` orders is cut into ``ranges`` ranges (fewer, where they would
+    hold less than 4 (k + 1) points), and a query sees
     three of them, so windows grow with the table and recall does not fall with
     its size. Vectors without structure need wide windows (the default finds over
     0.9 of the true neighbours of random directions in 64 dimensions); clustered
@@ -208,19 +209,19 @@ def near_vectors(
     asked = points.join(asking.select("point").distinct(), "point", "left_semi")
 
     given = stored(_keyed(points, shape, curves, seed, False), "curve-keys")
-    cuts = given.groupBy("dims", "curve").agg(
-        F.percentile_approx(
-            "key", [i / ranges for i in range(1, ranges)], 20 * ranges
-        ).alias("cuts"),
-        F.count(F.lit(1)).alias("n"),
-    )
+    shares = [i / ranges for i in range(1, ranges)]
+    quantiles = F.percentile_approx("key", shares, 20 * ranges) if shares else F.array().cast("array<long>")
+    cuts = given.groupBy("dims", "curve").agg(quantiles.alias("cuts"), F.count(F.lit(1)).alias("n"))
     # One row per curve and length of vectors.
     cuts = F.broadcast(stored(cuts, "curve-cuts"))
-    cell = F.size(F.filter("cuts", lambda c: c <= F.col("key")))
+    # A range holds 4 (k + 1) points at least; tables of fewer are searched whole.
+    used = F.greatest(F.lit(1), F.least(F.lit(ranges), F.floor(F.col("n") / (4 * (k + 1))))).cast("int")
+    cell = F.expr("size(filter(cuts, c -> c <= key))") * used
+    cell = F.floor(cell / ranges).cast("int")
 
     def split(rows, most):
         """Parts of bounded size that a range's rows are dealt into."""
-        return F.greatest(F.lit(1), F.ceil(rows / (ranges * most))).cast("int")
+        return F.greatest(F.lit(1), F.ceil(rows / (used * most))).cast("int")
 
     n_queries = asked.count()
     parts = split(F.col("n"), GROUP)
@@ -232,11 +233,12 @@ def near_vectors(
         F.explode(F.sequence(F.lit(0), q_parts - 1)).alias("q_part"),
         F.lit(False).alias("query"), "point", "vector",
     )
-    here = F.size(F.filter("cuts", lambda c: c <= F.col("key")))
     looking = (
         _keyed(asked, shape, curves, seed, True)
         .join(cuts, ["dims", "curve"])
-        .withColumn("cell", F.explode(F.sequence(F.greatest(here - 1, F.lit(0)), F.least(here + 1, F.lit(ranges - 1)))))
+        .withColumn(
+            "cell", F.explode(F.sequence(F.greatest(cell - 1, F.lit(0)), F.least(cell + 1, used - 1)))
+        )
         .select(
             "dims", "curve", "cell",
             F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
