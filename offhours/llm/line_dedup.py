@@ -1,8 +1,8 @@
 """Removal of repeated passages of several lines, cut where their content says.
 
-A rolling hash over the hashes of two neighbouring lines marks boundaries, so a
-passage is cut alike wherever it stands and an inserted line moves boundaries
-only near it. Chunks of two lines or more that occur again anywhere in the
+A rolling hash over the hashes of two neighbouring lines has its peaks where a
+passage is cut, so a passage is cut alike wherever it stands and an inserted line
+moves boundaries only near it. Chunks of two lines or more that occur again anywhere in the
 corpus are removed but for their first place, once grouping by their text has
 shown that their bytes are equal.
 """
@@ -20,14 +20,14 @@ from pyspark.sql import types as T
 from offhours.llm.shared import batches, column, sieve, sifted, stored, table
 from offhours.llm.text import mixed, paired
 
-EVERY = 2
+_ALL = (1 << 64) - 1
 CUT = "n_lines int, n_removed int, removed array<struct<first:int,last:int>>"
 
 
 class Chunks:
     """The chunks of a batch of texts: rows, numbers, line counts, hashes, places."""
 
-    def __init__(self, texts: pa.Array, every: int = EVERY):
+    def __init__(self, texts: pa.Array):
         texts = pc.fill_null(texts, "")
         lists = pc.split_pattern(texts, "\n")
         lines = lists.flatten()
@@ -44,10 +44,11 @@ class Chunks:
         last = np.zeros(total, bool)
         last[self.bounds[1:] - 1] = True
         # Rolling hash of each line and the one before it; a boundary behind every line
-        # whose hash says so, unless the line before has one or there is none.
-        rolling = paired(np.roll(line, 1), line)
-        mark = (rolling % np.uint64(every) == 0) & ~first
-        ends = (mark & ~np.roll(mark, 1)) | last
+        # where it is larger than at both neighbours. Two never follow one another.
+        rolling = paired(np.where(first, np.uint64(0), np.roll(line, 1)), line)
+        before = np.where(first, np.uint64(_ALL), np.roll(rolling, 1))
+        behind = np.where(last, np.uint64(0), np.roll(rolling, -1))
+        ends = ((rolling > before) & (rolling >= behind)) | last
         starts = np.flatnonzero(np.concatenate([[True], ends[:-1]])) if total else np.empty(0, int)
         stops = np.flatnonzero(ends) + 1
         self.lines = stops - starts
@@ -82,12 +83,12 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _found(rows: DataFrame, every: int, with_text: bool) -> DataFrame:
+def _found(rows: DataFrame, with_text: bool) -> DataFrame:
     """Chunks of several lines: ``id``, ``key``, ``number``, ``hash``, or ``hash`` and ``chunk``."""
     if with_text:
 
         def run(batch):
-            chunks = Chunks(batch.column(0), every)
+            chunks = Chunks(batch.column(0))
             which = np.flatnonzero(chunks.several)
             return pa.RecordBatch.from_arrays(
                 [pa.array(chunks.hashes[which]), chunks.texts(which)], ["hash", "chunk"]
@@ -96,7 +97,7 @@ def _found(rows: DataFrame, every: int, with_text: bool) -> DataFrame:
         return rows.select("text").mapInArrow(batches(run), "hash long, chunk string")
 
     def run(batch):
-        chunks = Chunks(batch.column(2), every)
+        chunks = Chunks(batch.column(2))
         which = np.flatnonzero(chunks.several)
         row = pa.array(chunks.rows[which])
         return pa.RecordBatch.from_arrays(
@@ -115,12 +116,12 @@ def _found(rows: DataFrame, every: int, with_text: bool) -> DataFrame:
     )
 
 
-def repeated_chunks(docs: DataFrame, every: int = EVERY) -> DataFrame:
+def repeated_chunks(docs: DataFrame) -> DataFrame:
     """``hash`` and ``copies`` of chunks that occur twice or more, byte by byte.
 
     A hash that two different texts share is left out: neither is ever removed.
     """
-    alike = _found(_keyed(docs), every, True).groupBy("hash", "chunk").agg(F.count(F.lit(1)).alias("n"))
+    alike = _found(_keyed(docs), True).groupBy("hash", "chunk").agg(F.count(F.lit(1)).alias("n"))
     return (
         alike.groupBy("hash")
         .agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("copies"))
@@ -129,7 +130,7 @@ def repeated_chunks(docs: DataFrame, every: int = EVERY) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, every: int = EVERY) -> DataFrame:
+def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without repeated chunks; adds the struct ``cut`` with what was removed.
 
     A chunk's first place, by document id, then text, then position, keeps it.
@@ -141,8 +142,8 @@ def dedup_lines(docs: DataFrame, every: int = EVERY) -> DataFrame:
     """
     docs = docs.drop("cut")
     rows = _keyed(docs)
-    repeated = stored(repeated_chunks(docs, every), "chunks")
-    seen = sifted(_found(rows, every, False), "hash", sieve(repeated, "hash"), "likely").where("likely")
+    repeated = stored(repeated_chunks(docs), "chunks")
+    seen = sifted(_found(rows, False), "hash", sieve(repeated, "hash"), "likely").where("likely")
     places = stored(
         seen.join(repeated.select("hash"), "hash").select("hash", "id", "key", "number"), "places"
     )
@@ -164,7 +165,7 @@ def dedup_lines(docs: DataFrame, every: int = EVERY) -> DataFrame:
         "left",
     ).select("d.doc", "d.text", "c.numbers")
     schema = T.StructType([*untouched.select("doc", "text").schema.fields, T.StructField("cut", T.StructType.fromDDL(CUT))])
-    cleaned = untouched.union(touched).mapInArrow(batches(_cutter(every)), schema)
+    cleaned = untouched.union(touched).mapInArrow(batches(_cutter()), schema)
 
     def final(name):
         if name == "text":
@@ -178,12 +179,12 @@ def dedup_lines(docs: DataFrame, every: int = EVERY) -> DataFrame:
     return cleaned.select(*[final(n) for n in docs.columns], "cut")
 
 
-def _cutter(every: int):
+def _cutter():
     pair = pa.struct([("first", pa.int32()), ("last", pa.int32())])
     kind = pa.struct([("n_lines", pa.int32()), ("n_removed", pa.int32()), ("removed", pa.list_(pair))])
 
     def run(batch):
-        chunks = Chunks(batch.column(1), every)
+        chunks = Chunks(batch.column(1))
         of = np.searchsorted(chunks.rows, np.arange(batch.num_rows + 1))
         n_lines = np.diff(chunks.bounds)
         texts, cuts = batch.column(1).to_pylist(), []
