@@ -54,14 +54,18 @@ def column(df: DataFrame, name: str) -> Column:
 
 
 def batches(
-    fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int = 2000
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A function on batches as ``mapInArrow`` wants it."""
+    """A function on batches as ``mapInArrow`` wants it.
+
+    Spark's batches hold up to 64 MB of text; ``fn`` gets ``rows`` rows at a time,
+    which bounds the memory of what it derives from them.
+    """
 
     def run(it):
         for batch in it:
-            if batch.num_rows:
-                out = fn(batch)
+            for at in range(0, batch.num_rows, rows):
+                out = fn(batch.slice(at, rows))
                 if out is not None and out.num_rows:
                     yield out
 
