@@ -82,7 +82,7 @@ def _surveyed(docs: DataFrame, width: int) -> DataFrame:
 
     def run(it):
         counts = np.zeros(1 << COUNT_BITS, np.uint32)
-        for batch in it:
+        for batch in (b.slice(at, 2000) for b in it for at in range(0, b.num_rows, 2000)):
             sets = shingle_sets(batch.column(2), width)
             first_bits = np.concatenate([*sets, np.empty(0, np.uint64)]) >> np.uint64(64 - COUNT_BITS)
             counts += np.bincount(first_bits.astype(np.int64), minlength=len(counts)).astype(np.uint32)
