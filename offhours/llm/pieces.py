@@ -9,12 +9,11 @@ pieces that merges make, so every such segmentation decodes to the same text.
 
 from __future__ import annotations
 
-import hashlib
-import heapq
 import re
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,17 +29,20 @@ VARIANTS = 4
 CACHE = 1 << 19
 _MARK = "▁"
 _ALL = (1 << 64) - 1
+_TURN = 0x9E3779B97F4A7C15
+_NONE = (1 << 31) - 1
+_CELLS = 1 << 18
 
 
 class Pieces:
-    """A BPE vocabulary: ids and scores of pieces, bytes of ids, where text may be cut."""
+    """A BPE vocabulary: ids of pieces, what merges into them, where text may be cut."""
 
     def __init__(self, model: str):
         import public_tokenizers
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(model))
-        self.ids, self.scores, self.byte_ids, self.as_bytes = {}, {}, {}, []
+        self.ids, self.byte_ids, self.as_bytes, scores = {}, {}, [], {}
         for i in range(sp.get_piece_size()):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
@@ -51,71 +53,166 @@ class Pieces:
                 self.as_bytes.append(b"")
             else:
                 self.ids[piece] = i
-                self.scores[piece] = sp.get_score(i)
+                scores[piece] = sp.get_score(i)
                 self.as_bytes.append(piece.replace(_MARK, " ").encode())
         merging = {c for p in self.ids if len(p) > 1 for c in p} - {_MARK}
         inner = re.escape("".join(sorted(merging)))
         # Segments: spaces with what may merge behind them, or one character alone.
         # The mark itself is no space here: in a text it is encoded as bytes.
         self.segment = re.compile(f" *[{inner}]+| +|[^{inner} ]")
+        # Symbols: pieces, and characters that only stand inside of pieces.
+        symbols = dict(self.ids)
+        for c in merging:
+            symbols.setdefault(c, len(symbols) + sp.get_piece_size())
+        self._of_point = np.full(0x110000, -2, np.int64)
+        for symbol, i in symbols.items():
+            if len(symbol) == 1:
+                self._of_point[ord(symbol)] = i
+        pairs = {
+            (symbols[p[:i]], symbols[p[i:]]): p
+            for p in self.ids
+            for i in range(1, len(p))
+            if p[:i] in symbols and p[i:] in symbols
+        }
+        # Better scores first; ranks are whole numbers, so that they can be compared exactly.
+        ranks = {score: rank for rank, score in enumerate(sorted(set(scores.values()), reverse=True))}
+        self._table(pairs, {p: (self.ids[p], ranks[scores[p]]) for p in self.ids})
+
+    def _table(self, pairs: dict, target: dict) -> None:
+        """Pairs of symbols with the piece they make, as an open hash table."""
+        bits = max(4, (4 * len(pairs)).bit_length())
+        self._shift = np.uint64(64 - bits)
+        self._keys = np.full(1 << bits, -1, np.int64)
+        self._made = np.zeros(1 << bits, np.int32)
+        self._rank = np.full(1 << bits, _NONE, np.int32)
+        for (left, right), piece in pairs.items():
+            key = left << 20 | right
+            at = int(np.uint64(key * _TURN & _ALL) >> self._shift)
+            while self._keys[at] >= 0:
+                at = (at + 1) & ((1 << bits) - 1)
+            self._keys[at] = key
+            self._made[at], self._rank[at] = target[piece]
+
+    def merges(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, piece) that each pair of symbols makes; the rank is _NONE if none."""
+        key = left.astype(np.int64) << 20 | right
+        last = len(self._keys) - 1
+        at = ((key.view(np.uint64) * np.uint64(_TURN)) >> self._shift).astype(np.int64)
+        found = self._keys[at]
+        open_ = np.flatnonzero((found != key) & (found >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & last
+            found = self._keys[at[open_]]
+            open_ = open_[(found != key[open_]) & (found >= 0)]
+        hit = self._keys[at] == key
+        return np.where(hit, self._rank[at], _NONE), self._made[at]
+
+    def encode_segments(self, segments: list[str], keys: np.ndarray, rate: int) -> list[bytes]:
+        """Ids (little-endian int32) of segments, all taken through their agendas together.
+
+        Each step takes every segment's best candidate off its agenda: the piece with
+        the best score, the leftmost of equals. A candidate whose keyed hash, of the
+        segment's key and the candidate's place, is below ``rate`` (in 1 / 2**24) is
+        skipped for good; the others are merged, which makes new candidates.
+        """
+        out: list[bytes] = [b""] * len(segments)
+        texts = [s.replace(" ", _MARK) for s in segments]
+        sizes = np.array([len(t) for t in texts])
+        order = np.argsort(sizes, kind="stable")
+        # Segments of like length, in blocks of bounded size.
+        at = 0
+        while at < len(order):
+            longest = max(8, int(sizes[order[at]]) * 3 // 2)
+            stop = at + int(np.searchsorted(sizes[order[at:]], longest, side="right"))
+            stop = min(stop, at + max(1, _CELLS // longest))
+            some = order[at:stop]
+            for i, ids in zip(some, self._block([texts[i] for i in some], keys[some], rate)):
+                out[i] = ids
+            at = stop
+        for i, s in enumerate(segments):
+            if len(s) == 1 and s == _MARK:
+                out[i] = self._bytes_of(s)
+        return out
 
-    def ids_of(self, symbol: str, literal_mark: bool = False) -> list[int]:
-        known = None if literal_mark else self.ids.get(symbol)
-        if known is not None:
-            return [known]
-        return [self.byte_ids[b] for b in symbol.encode("utf-8", "surrogatepass")]
-
-    def encode_segment(self, segment: str, key: int, rate: int) -> list[int]:
-        """Ids of a segment; ``key`` drives the dropout, ``rate`` is in 1 / 2**24."""
-        if segment == _MARK:
-            return self.ids_of(segment, literal_mark=True)
-        text = segment.replace(" ", _MARK)
-        size = len(text)
-        if size == 1:
-            return self.ids_of(text)
-        if rate:
-            digest = hashlib.blake2b(segment.encode(), digest_size=8, key=key.to_bytes(8, "little"))
-            base = int.from_bytes(digest.digest(), "little")
-        scores = self.scores
-        # A symbol is a slice [i, end[i]); ends of swallowed symbols are 0.
-        end = list(range(1, size + 1))
-        before = list(range(-1, size - 1))
-        agenda = []
-        for i in range(size - 1):
-            score = scores.get(text[i : i + 2])
-            if score is not None:
-                agenda.append((-score, i, i + 1, i + 2))
-        heapq.heapify(agenda)
-        while agenda:
-            _, a, b, c = heapq.heappop(agenda)
-            if end[a] != b or end[b] != c:
-                continue  # one of the two symbols has gone into another merge
+    def _bytes_of(self, text: str) -> bytes:
+        return np.array([self.byte_ids[b] for b in text.encode("utf-8", "surrogatepass")], "<i4").tobytes()
+
+    def _block(self, texts: list[str], keys: np.ndarray, rate: int) -> list[bytes]:
+        rows, wide = len(texts), max(map(len, texts))
+        symbol = np.full((rows, wide + 1), -1, np.int64)
+        size = np.array([len(t) for t in texts])
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        flat = self._of_point[points]
+        inside = np.arange(wide + 1) < size[:, None]
+        symbol[inside] = flat
+        # Where each symbol begins; behind the last one stands the end of the text.
+        begin = np.minimum(np.arange(wide + 2), size[:, None]).astype(np.int64)
+        rank = np.full((rows, wide + 1), _NONE, np.int32)
+        piece = np.zeros((rows, wide + 1), np.int32)
+        rank[:, :wide], piece[:, :wide] = self._pairs(symbol[:, :-1], symbol[:, 1:])
+        alive = np.arange(rows)
+        columns = np.arange(wide + 1)
+        while len(alive):
+            best = rank[alive].argmin(1)
+            some = rank[alive, best] < _NONE
+            alive, best = alive[some], best[some]
+            if not len(alive):
+                break
             if rate:
-                h = (base ^ (a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F + c)) & _ALL
-                h = (h ^ (h >> 31)) * 0xFF51AFD7ED558CCD & _ALL
-                if h >> 40 < rate:
-                    continue
-            end[a], end[b] = c, 0
-            if c < size:
-                before[c] = a
-                score = scores.get(text[a : end[c]])
-                if score is not None:
-                    heapq.heappush(agenda, (-score, a, c, end[c]))
-            left = before[a]
-            if left >= 0:
-                score = scores.get(text[left:c])
-                if score is not None:
-                    heapq.heappush(agenda, (-score, left, a, c))
-        ids, i = [], 0
-        while i < size:
-            ids += self.ids_of(text[i : end[i]])
-            i = end[i]
-        return ids
+                a, b = begin[alive, best], begin[alive, best + 1]
+                c = begin[alive, best + 2]
+                place = (a << 40 | b << 20 | c).astype(np.uint64)
+                skip = mixed(keys[alive] ^ mixed(place)) >> np.uint64(40) < np.uint64(rate)
+                rank[alive[skip], best[skip]] = _NONE
+                row, j = alive[~skip], best[~skip]
+            else:
+                row, j = alive, best
+            if not len(row):
+                continue
+            # The two symbols become one; what stands behind them moves up.
+            symbol[row, j] = piece[row, j]
+            behind = columns > j[:, None]
+            source = np.minimum(columns + behind, wide)
+            last = behind[:, -1]
+            symbol[row] = np.take_along_axis(symbol[row], source, 1)
+            symbol[row[last], wide] = -1
+            rank[row] = np.take_along_axis(rank[row], source, 1)
+            piece[row] = np.take_along_axis(piece[row], source, 1)
+            rank[row, wide] = _NONE
+            starts = begin[row]
+            moved = np.take_along_axis(starts, source, 1)
+            starts[:, : wide + 1] = moved
+            begin[row] = starts
+            rank[row, j], piece[row, j] = self._pairs(symbol[row, j], symbol[row, j + 1])
+            left = j > 0
+            row, j = row[left], j[left]
+            rank[row, j - 1], piece[row, j - 1] = self._pairs(symbol[row, j - 1], symbol[row, j])
+        kept = symbol[:, :-1]
+        there = kept != -1
+        ends = np.cumsum(there.sum(1))
+        flat = kept[there]
+        odd = (flat < 0) | (flat >= len(self.as_bytes))
+        whole = flat.astype("<i4").tobytes()
+        bounds = [0, *(4 * ends).tolist()]
+        out = [whole[a:b] for a, b in zip(bounds, bounds[1:])]
+        # Characters that are no pieces become bytes.
+        for i in np.unique(np.searchsorted(ends, np.flatnonzero(odd), side="right")):
+            ids, starts = kept[i][there[i]].tolist(), begin[i].tolist()
+            out[i] = b"".join(
+                np.array([n], "<i4").tobytes() if 0 <= n < len(self.as_bytes) else self._bytes_of(texts[i][a:b])
+                for n, a, b in zip(ids, starts, starts[1:])
+            )
+        return out
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray):
+        rank, piece = self.merges(np.maximum(left, 0).ravel(), np.maximum(right, 0).ravel())
+        rank = np.where(((left < 0) | (right < 0)).ravel(), _NONE, rank)
+        return rank.reshape(left.shape), piece.reshape(left.shape)
 
     def decode(self, ids) -> str:
         """The text that was encoded; the space that encoding set before it goes."""
         whole = b"".join(map(self.as_bytes.__getitem__, ids))
-        return whole[1:].decode("utf-8", "replace") if whole[:1] == b" " else whole.decode("utf-8", "replace")
+        return (whole[1:] if whole[:1] == b" " else whole).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -129,37 +226,51 @@ class Encoder:
 
     def __init__(self, model: str, rate: float, seed: int, variants: int, cache: int = CACHE):
         self.vocabulary = pieces(model)
-        self.rate, self.seed = round(rate * (1 << 24)), seed
+        self.rate, self.seed = round(rate * (1 << 24)), seed & _ALL
         self.variants = variants if self.rate else 1
         self.most = max(1, cache // self.variants)
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
 
-    def encode(self, text: str, stream: int) -> bytes:
-        """Ids as little-endian int32. ``stream`` tells documents apart."""
-        if not text:
-            return b""
-        segments = self.vocabulary.segment.findall(" " + text)
-        if self.variants == 1:
-            known = self.known[0]
-            return b"".join([known.get(s) or self._new(s, 0) for s in segments])
-        # Which of the variants of its segment an occurrence takes depends on its place.
-        first = mixed(np.array([stream & _ALL], np.uint64) + np.uint64(self.seed & _ALL))
-        places = np.arange(len(segments), dtype=np.uint64) + first
-        choice = (mixed(places) % np.uint64(self.variants)).astype(np.int64).tolist()
-        known = self.known
-        return b"".join([known[v].get(s) or self._new(s, v) for s, v in zip(segments, choice)])
-
-    def _new(self, segment: str, variant: int) -> bytes:
-        key = (self.seed * 1_000_003 + variant) & _ALL
-        ids = self.vocabulary.encode_segment(segment, key, self.rate)
-        out = np.array(ids, "<i4").tobytes()
-        known = self.known[variant]
-        if len(segment) <= 64:
-            if len(known) >= self.most:
-                known.clear()
-            known[segment] = out
+    def encode(self, texts: list[str], streams: list[int]) -> list[bytes]:
+        """Ids of each text as little-endian int32. ``streams`` tell documents apart."""
+        find, known = self.vocabulary.segment.findall, self.known
+        if any(len(k) >= self.most for k in known):
+            for k in known:
+                k.clear()
+        gets = [k.get for k in known]
+        parts, new = [], [set() for _ in known]
+        for t, stream in zip(texts, streams):
+            segments = find(" " + t) if t else []
+            variant = self._variants(len(segments), stream)
+            found = [gets[v](s) for v, s in zip(variant, segments)]
+            missing = [(i, variant[i], segments[i]) for i, ids in enumerate(found) if ids is None]
+            for _, v, s in missing:
+                new[v].add(s)
+            parts.append((found, missing))
+        for v, some in enumerate(new):
+            if some:
+                some = sorted(some)
+                ids = self.vocabulary.encode_segments(some, self._keys(some, v), self.rate)
+                known[v].update(zip(some, ids))
+        out = []
+        for found, missing in parts:
+            for i, v, s in missing:
+                found[i] = known[v][s]
+            out.append(b"".join(found))
         return out
 
+    def _variants(self, n: int, stream: int) -> list[int]:
+        """Which of its segment's variants each occurrence takes depends on its place."""
+        if self.variants == 1:
+            return [0] * n
+        first = mixed(np.array([(stream + self.seed) & _ALL], np.uint64))
+        places = mixed(np.arange(n, dtype=np.uint64) + first)
+        return (places % np.uint64(self.variants)).tolist()
+
+    def _keys(self, segments: list[str], variant: int) -> np.ndarray:
+        hashes = pd.util.hash_array(np.array(segments, object), categorize=False)
+        return mixed(hashes ^ mixed(np.array([(self.seed * 1_000_003 + variant) & _ALL], np.uint64)))
+
 
 @lru_cache(maxsize=2)
 def encoder(model: str, rate: float, seed: int, variants: int) -> Encoder:
@@ -190,14 +301,12 @@ def encode(
         coder = encoder(model, dropout, seed, variants)
         decode_ids = coder.vocabulary.decode
         out, same = [], []
-        for key, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            if t is None:
-                out.append(None)
-                same.append(None)
-                continue
-            ids = coder.encode(t, key)
-            out.append(ids)
-            same.append(decode_ids(np.frombuffer(ids, "<i4").tolist()) == t)
+        keys, texts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+        for at in range(0, len(texts), 500):
+            some = texts[at : at + 500]
+            for t, ids in zip(some, coder.encode([t or "" for t in some], keys[at : at + 500])):
+                out.append(None if t is None else ids)
+                same.append(None if t is None else decode_ids(np.frombuffer(ids, "<i4").tolist()) == t)
         sizes = np.array([len(x) // 4 if x else 0 for x in out], np.int64)
         offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         values = np.frombuffer(b"".join([x for x in out if x]), "<i4")
