@@ -583,7 +583,7 @@ def _(layers):
     "hist_interpolated",
     """SELECT 'Close' AS field, bucket, Close IS NULL AS filled,
               round(CASE WHEN Close IS NOT NULL THEN Close
-                    ELSE pv + (nv - pv) * (epoch(bucket) - epoch(pt)) / (epoch(nt) - epoch(pt))
+                    ELSE pv + (nv - pv) * ((epoch(bucket) - epoch(pt)) / (epoch(nt) - epoch(pt)))
                     END, 6) AS value
        FROM neighbours""",
     extra=FILL_SQL,

@@ -105,7 +105,7 @@ bars AS (
          last(value ORDER BY ts, event_id) AS c, count(*) AS v,
          CAST(floor(epoch(slot) / 900) AS BIGINT) AS number
   FROM activity
-  WHERE event_type = 'purchase' AND isodow(slot) <= 5 AND hour(slot) < 22
+  WHERE event_type = 'purchase'
   GROUP BY slot
 ),
 typed_candles AS (

@@ -1,5 +1,6 @@
 """Jobs over stored tables: build everything, or bring one day up to date.
 
+    python -m offhours.jobs land    --archives A --raw R [--date 2026-02-27]
     python -m offhours.jobs events  --mode history --raw R --silver S
     python -m offhours.jobs events  --mode daily --date 2026-02-27 --raw R --silver S
     python -m offhours.jobs candles --mode daily --date 2026-02-27 --raw R --silver S
@@ -7,7 +8,9 @@
     python -m offhours.jobs serve   --gold G --documents D
 
 Tables are Parquet, partitioned by day. A daily run touches only the days it
-changes, and running it again changes nothing.
+changes, and running it again changes nothing; where the clean table does not
+exist yet, it is built whole. A rebuild without input or without a row leaves
+the table as it was.
 """
 
 from __future__ import annotations
@@ -24,10 +27,13 @@ from offhours.operators.merge import new_only
 from offhours.plans.candles import clean_candles, merge_candles
 from offhours.plans.events import EVENT_KEY, EventRules, clean_events
 from offhours.plans.gold import GoldRules, context_start, day_index, stress_index
+from offhours.plans.landing import land_archives
+from offhours.plans.serving import absent_columns
 from offhours.session import build_session, observed
 from offhours.sources.documents import WriteAccount, write_documents
 from offhours.sources.lake import (
     DAY,
+    EmptyResult,
     MissingTable,
     read_day,
     read_table,
@@ -52,6 +58,22 @@ def _logged(df: DataFrame, ts: str, write: Callable[[DataFrame], None], label: s
     return rows
 
 
+def _rebuilt(df: DataFrame, path: str, ts: str, label: str) -> bool:
+    """Replace a whole table; without a row the old one stays."""
+    try:
+        _logged(df, ts, lambda rows: write_whole(rows, path, ts), label)
+    except EmptyResult:
+        log.error("no %s came out; %s stays as it is", label, path)
+        return False
+    return True
+
+
+def land(spark: SparkSession, archives: str, raw: str, day: str | None = None) -> bool:
+    """Unpack landed archives, of one day or all, each replacing its own former rows."""
+    stamp = day.replace("-", "") if day else ""
+    return land_archives(spark, archives, raw, f"{stamp}*.export.CSV.zip")
+
+
 def events_history(
     spark: SparkSession, raw: str, silver: str, rules: EventRules = EventRules()
 ) -> bool:
@@ -65,9 +87,7 @@ def events_history(
     except MissingTable:
         log.error("nothing landed in %s", raw)
         return False
-    clean = clean_events(landed, rules)
-    _logged(clean, "DATEADDED", lambda df: write_whole(df, silver, "DATEADDED"), "events")
-    return True
+    return _rebuilt(clean_events(landed, rules), silver, "DATEADDED", "events")
 
 
 def events_daily(
@@ -75,9 +95,13 @@ def events_daily(
 ) -> bool:
     """Add one landed day to the clean event table; events already there stay.
 
-    Only new events are written, as additional files of their days.
+    Only new events are written, as additional files of their days. Without a
+    clean table yet, all that landed is cleaned.
     """
-    existing = read_table(spark, silver, schemas.SILVER_EVENTS)
+    try:
+        existing = read_table(spark, silver, schemas.SILVER_EVENTS)
+    except MissingTable:
+        return events_history(spark, raw, silver, rules)
     landed = read_day(spark, raw, schemas.RAW_EVENTS, day)
     if landed is None:
         log.info("no events landed on %s", day)
@@ -99,9 +123,7 @@ def candles_history(spark: SparkSession, raw: str, silver: str) -> bool:
     except MissingTable:
         log.error("no candles landed in %s", raw)
         return False
-    clean = clean_candles(landed)
-    _logged(clean, "Datetime", lambda df: write_whole(df, silver, "Datetime"), "candles")
-    return True
+    return _rebuilt(clean_candles(landed), silver, "Datetime", "candles")
 
 
 def candles_daily(spark: SparkSession, raw: str, silver: str, day: str) -> bool:
@@ -110,7 +132,10 @@ def candles_daily(spark: SparkSession, raw: str, silver: str, day: str) -> bool:
     The change in percent links a day to the last close before it, so the
     latest earlier day is read along, and the day after is rewritten with it.
     """
-    existing = read_table(spark, silver, schemas.SILVER_CANDLES, day_column=True)
+    try:
+        existing = read_table(spark, silver, schemas.SILVER_CANDLES, day_column=True)
+    except MissingTable:
+        return candles_history(spark, raw, silver)
     landed = read_day(spark, raw, schemas.TYPED_CANDLES, day)
     if landed is None:
         log.info("no candles landed on %s", day)
@@ -138,9 +163,7 @@ def index_history(
     """Build the whole index table."""
     c = read_table(spark, candles, schemas.SILVER_CANDLES)
     e = read_table(spark, events, schemas.SILVER_EVENTS)
-    index = stress_index(c, e, rules)
-    _logged(index, "Datetime", lambda df: write_whole(df, gold, "Datetime"), "index")
-    return True
+    return _rebuilt(stress_index(c, e, rules), gold, "Datetime", "index")
 
 
 def index_daily(
@@ -165,14 +188,18 @@ def index_daily(
     def context(df: DataFrame) -> DataFrame:
         return df.where(upto & since).drop(DAY)
 
-    fresh = day_index(context(c), context(e), day, rules)
-    # A day without an open candle gives no rows, which replace nothing.
+    fresh = day_index(context(c), context(e), day, rules, start=start)
+    # A day without an open candle gives no rows, which replace nothing: rows that an
+    # earlier run wrote for it stay until the next rebuild.
     return _logged(fresh, "Datetime", lambda df: write_days(df, gold, "Datetime"), "index day") > 0
 
 
 def serve(spark: SparkSession, gold: str, documents: str) -> WriteAccount:
-    """Write the index as documents."""
-    account = write_documents(read_table(spark, gold, schemas.GOLD), documents)
+    """Write the index as documents; a missing or empty index is an error."""
+    rows = read_table(spark, gold, schemas.GOLD)
+    for name in absent_columns(rows):
+        log.warning("the index has no column %s", name)
+    account = write_documents(rows, documents)
     log.info("%d documents written, %d refused", account.success, account.errors)
     for example in account.examples:
         log.error("refused: %s", example)
@@ -193,6 +220,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         job.add_argument("--date", help="the day to bring up to date (YYYY-MM-DD)")
         for option in options:
             job.add_argument(f"--{option}", required=True)
+    job = jobs.add_parser("land")
+    job.add_argument("--archives", required=True)
+    job.add_argument("--raw", required=True)
+    job.add_argument("--date", help="only archives of this day (YYYY-MM-DD)")
     job = jobs.add_parser("serve")
     job.add_argument("--gold", required=True)
     job.add_argument("--documents", required=True)
@@ -216,6 +247,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "index":
         run = index_daily if daily else index_history
         run(spark, args.candles, args.events, args.gold, *([args.date] if daily else []))
+    elif args.job == "land":
+        land(spark, args.archives, args.raw, args.date)
     else:
         serve(spark, args.gold, args.documents)
 

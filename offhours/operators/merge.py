@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from offhours.session import materialize
+
 
 def keep_one(df: DataFrame, keys: Sequence[str], prefer: Sequence[Column] = ()) -> DataFrame:
     """One row per key: the least by ``prefer``, then by all other columns.
@@ -38,13 +40,18 @@ def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 def new_only(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``, one per key.
 
-    The keys that do exist are looked up first. That way round the large table
-    is only read for its key column and the small one can be the broadcast or
-    filter side, as Spark sees fit; the final anti-join is between small tables.
+    ``new`` is computed once and kept. The range of its first key becomes literal
+    bounds on the large table, which reach its scan: files and row groups whose
+    keys lie outside are not read, so where keys grow with time (as ids of a feed
+    do) a day is compared with little more than itself. Of the rest only the key
+    column is read, and the final anti-join is between small tables.
     """
-    new = keep_one(new, keys)
+    new = materialize(keep_one(new, keys))
+    key = F.col(keys[0])
+    low, high, nulls = new.agg(F.min(key), F.max(key), F.count_if(key.isNull())).first()
+    within = key.between(F.lit(low), F.lit(high)) if low is not None else F.lit(False)
     wanted = new.select(*keys)
-    present = existing.select(*keys)
+    present = existing.select(*keys).where(within | key.isNull() if nulls else within)
     hits = present.join(wanted, same_key(present, wanted, keys), "left_semi").distinct()
     return new.join(hits, same_key(new, hits, keys), "left_anti")
 
@@ -63,7 +70,8 @@ def replace_day(existing: DataFrame, recomputed: DataFrame, ts: str, day: str) -
     Columns that one side lacks are filled with null. Running it again with the
     same input changes nothing.
     """
-    kept = existing.where(F.to_date(ts) != F.lit(day).cast("date"))
+    # Rows without a timestamp are of no day and stay.
+    kept = existing.where(~F.to_date(ts).eqNullSafe(F.lit(day).cast("date")))
     return kept.unionByName(recomputed, allowMissingColumns=True)
 
 

@@ -142,7 +142,10 @@ def with_position(
     keys: Sequence[str] = (),
     bucket_seconds: int = DAY_SECONDS,
 ) -> DataFrame:
-    """Add ``out``: 0-based position of the row in time order over the whole series."""
+    """Add ``out``: 0-based position of the row in time order over the whole series.
+
+    Rows without a timestamp have no place in it: their position is null.
+    """
     df = df.withColumn(_DAY, bucket_number(ts, bucket_seconds))
     per_day = df.groupBy(*keys, _DAY).agg(F.count(F.lit(1)).alias("_n"))
     earlier = _days(keys).rowsBetween(Window.unboundedPreceding, -1)
@@ -152,8 +155,8 @@ def with_position(
     inside = Window.partitionBy(*keys, _DAY).orderBy(ts)
     return (
         df.withColumn("_inside", F.row_number().over(inside))
-        .join(before, [*keys, _DAY])
-        .withColumn(out, F.col("_before") + F.col("_inside") - 1)
+        .join(before, [*keys, _DAY], "left")
+        .withColumn(out, F.when(F.col(ts).isNotNull(), F.col("_before") + F.col("_inside") - 1))
         .drop(_DAY, "_inside", "_before")
     )
 
@@ -172,19 +175,26 @@ def rolling(
     series is cut into buckets of equal row count by ``position``; the last
     ``preceding`` rows of a bucket are also sent to the next one, which is all
     the history its first rows need. With the default bucket length an eighth
-    of the rows travels twice.
+    of the rows travels twice. Rows without a position get null in the new columns.
     """
     length = bucket_rows or 8 * max(preceding, 1)
     if length < preceding:
         raise ValueError("a bucket must hold at least the rows a window looks back on")
     home = F.floor(F.col(position) / F.lit(length)).cast("long")
     needed_later = F.pmod(F.col(position), F.lit(length)) >= F.lit(length - preceding)
-    copies = F.when(needed_later, F.array(home, home + 1)).otherwise(F.array(home))
+    known = F.col(position).isNotNull()
+    # Rows without a position only have to be somewhere: not all in one bucket.
+    anywhere = F.array(-1 - F.pmod(F.monotonically_increasing_id(), F.lit(4096)))
+    copies = (
+        F.when(~known, anywhere)
+        .when(needed_later, F.array(home, home + 1))
+        .otherwise(F.array(home))
+    )
     frame = Window.partitionBy(*keys, "_bucket").orderBy(position).rowsBetween(-preceding, 0)
     placed = df.withColumn("_bucket", F.explode(copies))
     for name, build in columns.items():
-        placed = placed.withColumn(name, build(frame))
-    return placed.where(F.col("_bucket") == home).drop("_bucket")
+        placed = placed.withColumn(name, F.when(known, build(frame)))
+    return placed.where(~known | (F.col("_bucket") == home)).drop("_bucket")
 
 
 def fill_between(

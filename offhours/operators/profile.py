@@ -29,6 +29,11 @@ def _missing(f: T.StructField) -> Column:
     return c.isNull()
 
 
+def _known(df: DataFrame, column: str) -> Column:
+    """The column with null in place of NaN, as pandas treats it."""
+    return F.when(~_missing(df.schema[column]), F.col(column))
+
+
 def _as_rows(one_row: DataFrame, label: str, parts: dict[str, Sequence[str]]) -> DataFrame:
     """Turn one wide row into a row per label; ``parts`` maps a label to its columns."""
     names = [c.split(".", 1)[1] for c in next(iter(parts.values()))]
@@ -49,7 +54,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """
     columns = list(columns or numeric_columns(df))
     doubles = df.select(
-        *[F.when(~_missing(df.schema[c]), F.col(c).cast("double")).alias(c) for c in columns]
+        *[_known(df, c).cast("double").alias(c) for c in columns]
     )
     wanted = {
         "count": F.count,
@@ -70,7 +75,8 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 
 
 def column_stats(df: DataFrame, column: str) -> DataFrame:
-    """Min, max, mean, exact median, sample std and range of one column."""
+    """Min, max, mean, exact median, sample std and range of one column; NaN is missing."""
+    df = df.select(_known(df, column).alias(column))
     median = exact_quantiles(df.select(column), [], column, {"median": 0.5}).scalar()
     return df.agg(
         F.min(column).alias("min"),
@@ -158,14 +164,14 @@ def totals(df: DataFrame, column: str) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Counts in equal bins from min to max, empty bins included, the last one closed.
 
-    A single-valued column gets one unit around its value.
+    A single-valued column gets one unit around its value. NaN is missing.
     """
-    value = F.col(column).cast("double")
+    value = _known(df, column).cast("double")
     low, high = F.col("_bounds.low"), F.col("_bounds.high")
     start = F.when(high > low, low).otherwise(low - 0.5)
     width = F.when(high > low, high - low).otherwise(F.lit(1.0)) / bins
     bounds = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
-    known = df.where(value.isNotNull() & ~F.isnan(value))
+    known = df.where(value.isNotNull())
     place = F.least(F.floor((value - start) / width), F.lit(bins - 1)).cast("int")
     counted = (
         known.select(column, bounds.alias("_bounds"))
@@ -193,30 +199,37 @@ def value_counts(df: DataFrame, column: str, size: int) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 3) -> DataFrame:
     """Pearson correlation of every pair, over the rows where both are known.
 
-    One pass; the pairs of a row are aggregated map-side, one group per pair. A
-    constant column correlates with nothing (null).
+    One aggregate with a few plain sums per pair, so no row is multiplied and no key is
+    shuffled; its one row is then turned into cells. A constant column correlates with
+    nothing (null); NaN is missing.
     """
-    pairs = combinations_with_replacement(columns, 2)
-    entries = [
-        F.struct(
-            F.lit(a).alias("a"),
-            F.lit(b).alias("b"),
-            F.when(F.col(b).isNotNull(), F.col(a).cast("double")).alias("x"),
-            F.when(F.col(a).isNotNull(), F.col(b).cast("double")).alias("y"),
-        )
-        for a, b in pairs
-    ]
-    spread = F.stddev_samp("x") * F.stddev_samp("y")
-    r = F.round(F.try_divide(F.covar_samp("x", "y"), spread), digits).alias("r")
-    upper = df.select(F.inline(F.array(*entries))).groupBy("a", "b").agg(r)
-    mirrored = F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r")
-    lower = F.when(F.col("a") != F.col("b"), mirrored)
-    cells = F.array_compact(F.array(F.struct("a", "b", "r"), lower))
-    return upper.select(F.inline(cells))
+    doubles = df.select(*[_known(df, c).cast("double").alias(c) for c in columns])
+    pairs = list(combinations_with_replacement(columns, 2))
+
+    def measures(i: int, a: str, b: str) -> list[Column]:
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
+        return [
+            F.covar_samp(x, y).alias(f"_{i}.cov"),
+            F.stddev_samp(x).alias(f"_{i}.x"),
+            F.stddev_samp(y).alias(f"_{i}.y"),
+        ]
+
+    wide = doubles.agg(*[m for i, (a, b) in enumerate(pairs) for m in measures(i, a, b)])
+
+    def cell(i: int, a: str, b: str) -> Column:
+        cov, x, y = (F.col(f"`_{i}.{name}`") for name in ("cov", "x", "y"))
+        r = F.round(F.try_divide(cov, x * y), digits)
+        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
+
+    cells = [cell(i, a, b) for i, (a, b) in enumerate(pairs)]
+    cells += [cell(i, b, a) for i, (a, b) in enumerate(pairs) if a != b]
+    return wide.select(F.inline(F.array(*cells)))
 
 
 def score_diagnostics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Min, max, mean, non-zero and zero counts per score."""
+    """Min, max, mean, non-zero and zero counts per score, and all rows; NaN is missing."""
+    df = df.select(*[_known(df, c).alias(c) for c in columns])
     wanted = {
         "min": F.min,
         "max": F.max,

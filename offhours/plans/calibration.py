@@ -63,9 +63,17 @@ def alpha_grid(
         .groupBy("alpha", "score", "change")
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    score_rank = centred_ranks(points, ["alpha"], "score", "x", "copies")
-    # Every alpha pairs the same changes; one of them is enough to rank them.
-    change_rank = centred_ranks(points.where("alpha = 0"), [], "change", "y", "copies")
+    # Every alpha pairs the same changes; those of one are ranked along with the
+    # scores, as a group of their own, so that all values are placed once.
+    changes = points.where("alpha = 0").select(F.lit(-1.0).alias("alpha"), "change", "copies")
+    values = points.select("alpha", F.col("score").alias("value"), "copies").union(changes)
+    ranks = centred_ranks(values, ["alpha"], "value", "rank", "copies")
+    score_rank = ranks.where("alpha >= 0").select(
+        "alpha", F.col("value").alias("score"), F.col("rank").alias("x")
+    )
+    change_rank = ranks.where("alpha < 0").select(
+        F.col("value").alias("change"), F.col("rank").alias("y")
+    )
     ranked = points.join(score_rank, ["alpha", "score"]).join(change_rank, ["change"])
 
     def weighted(a: str, b: str):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offhours.functions.market import candle_range, percent_change
@@ -13,25 +15,37 @@ from offhours.schemas import SILVER_CANDLES, TYPED_CANDLES, conform
 CANDLE_KEY = ["Datetime"]
 
 
-def flatten_header(df: DataFrame) -> DataFrame:
+def flatten_header(df: DataFrame, ticker: str | None = None) -> DataFrame:
     """Drop the ticker level of a two-level header.
 
     Struct columns (``Close.<ticker>``) and names such as ``('Close', 'X')`` or
-    ``Close_X`` come out as ``Close``.
+    ``Close_X`` come out as ``Close``. Where a field has several tickers,
+    ``ticker`` must say which one is meant.
     """
-    wanted = TYPED_CANDLES.names
-    picked = {}
+    found: dict[str, dict[str, Column]] = {c: {} for c in TYPED_CANDLES.names}
     for field in df.schema:
-        parts = field.name.replace("(", "").replace(")", "").replace("'", "").replace("_", ",")
-        top = parts.split(",")[0].strip()
+        name = re.sub(r"[()']", "", field.name)
+        top, _, below = (part.strip() for part in re.sub("[,_]", ",", name, count=1).partition(","))
         top = "Datetime" if top == "index" else top
-        if top not in wanted or top in picked:
+        if top not in found:
             continue
         column = F.col(f"`{field.name}`")
         if field.dataType.typeName() == "struct":
-            column = column.getField(field.dataType.names[0])
-        picked[top] = column.alias(top)
-    return df.select(*[picked[c] for c in wanted if c in picked])
+            found[top].update({t: column.getField(t) for t in field.dataType.names})
+        else:
+            found[top][below] = column
+
+    def pick(name: str, columns: dict[str, Column]) -> Column:
+        if ticker is not None and ticker in columns:
+            return columns[ticker].alias(name)
+        if len(columns) > 1:
+            raise ValueError(f"{name} has several tickers, {sorted(columns)}: name one of them")
+        ((only, column),) = columns.items()
+        if ticker is not None and only not in ("", ticker):
+            raise ValueError(f"{name} has the ticker {only}, not {ticker}")
+        return column.alias(name)
+
+    return df.select(*[pick(name, columns) for name, columns in found.items() if columns])
 
 
 def cast_candles(raw: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -23,13 +25,25 @@ EVENT_KEY = ["GlobalEventID"]
 class EventRules:
     """Thresholds of the major-event filter and the scoring option."""
 
-    since: str = "2026-01-01"
+    since: str | dt.date = "2026-01-01"
     min_articles: int = 4
     min_goldstein: float = 5.0
     min_quad_class: int = 2
     root_codes: tuple[int, ...] = MAJOR_ROOT_CODES
     null_tone: float | None = None
 
+    def __post_init__(self) -> None:
+        """``since`` as a date: YYYY, YYYY-M or YYYY-M-D are understood, nothing else."""
+        since = self.since
+        if not isinstance(since, dt.date):
+            found = re.fullmatch(r"(\d{4})(?:-(\d{1,2})(?:-(\d{1,2}))?)?", str(since).strip())
+            if not found:
+                raise ValueError(f"since is no date: {since!r}")
+            since = dt.date(*(int(part or 1) for part in found.groups()))
+        elif isinstance(since, dt.datetime):
+            since = since.date()
+        object.__setattr__(self, "since", since)
+
     def conditions(self) -> dict[str, Column]:
         """The conditions by name, the cheapest to evaluate first."""
         return {
@@ -37,7 +51,7 @@ class EventRules:
             "root_code": F.col("EventRootCode").isin(*self.root_codes),
             "articles": F.col("NumArticles") >= self.min_articles,
             "goldstein": F.abs("GoldsteinScale") >= self.min_goldstein,
-            "since": F.col("Day") >= F.lit(self.since).cast("date"),
+            "since": F.col("Day") >= F.lit(self.since),
         }
 
     def major(self) -> Column:
@@ -52,7 +66,7 @@ class EventRules:
         that starts below the digits (a signed year) is left to the exact rule.
         """
         day = F.col("Day")
-        return (day >= self.since.replace("-", "")) | (day < "0")
+        return (day >= self.since.strftime("%Y%m%d")) | (day < "0")
 
 
 def cast_events(raw: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -110,6 +111,7 @@ def day_index(
     day: str,
     rules: GoldRules = GoldRules(),
     context_days: int | None = None,
+    start: dt.datetime | None = None,
 ) -> DataFrame:
     """The index of one day, computed from the context it depends on.
 
@@ -117,17 +119,21 @@ def day_index(
     the events since then, which gives exactly the rows of the full computation.
     ``context_days`` takes that many calendar days instead, which is cheaper to
     bound but starts the window and the first closed period in the middle.
+
+    ``start`` is the value of ``context_start``, for a caller who knows it; else it
+    is found with one job, so that the plan and the scans get it as a literal.
     """
     midnight = F.lit(day).cast("timestamp")
     if context_days is not None:
         candles = days_around(candles, "Datetime", day, context_days)
         events = days_around(events, "DATEADDED", day, context_days)
     else:
-        start = context_start(candles, day, rules).scalar()
+        start = start or context_start(candles, day, rules).first()["start"]
         end = F.expr(f"timestamp'{day}' + interval 1 day")
 
         def within(df: DataFrame, ts: str) -> DataFrame:
-            return df.where((F.col(ts) < end) & (start.isNull() | (F.col(ts) > start)))
+            upto = df.where(F.col(ts) < end)
+            return upto.where(F.col(ts) > F.lit(start)) if start else upto
 
         candles, events = within(candles, "Datetime"), within(events, "DATEADDED")
     whole = stress_index(candles, events, rules)

@@ -4,34 +4,66 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offhours.operators.slots import slot_completeness
+from offhours.session import materialize
 from offhours.sources.exports import export_files, read_archives, read_catalogue
-from offhours.sources.lake import write_days
+from offhours.sources.lake import DAY, MissingTable, read_table, write_days
 
-FEED_TIME = "_feed_time"
+ARCHIVE = "archive"
 
 
 def land_archives(
     spark: SparkSession, archives_path: str, raw_path: str, pattern: str = "*.export.CSV.zip"
-) -> None:
-    """Unpack landed archives into the raw table, by the day in the archive's name.
+) -> bool:
+    """Unpack landed archives into the raw table; False when there are none."""
+    try:
+        rows = read_archives(spark, archives_path, pattern)
+    except MissingTable:
+        return False
+    land_rows(rows, raw_path)
+    return True
 
-    The days that the archives cover are replaced, so landing them again
-    changes nothing.
+
+def land_rows(rows: DataFrame, raw_path: str) -> None:
+    """Write the rows of unpacked archives into the raw table.
+
+    The table is partitioned by the day in the archive's name (archives without one
+    share the null partition) and knows each row's archive. Days that the archives
+    touch are written anew: with the rows of their other archives and the new ones.
+    So landing an archive again replaces its own rows and no others.
     """
-    rows = read_archives(spark, archives_path, pattern)
-    name = F.regexp_extract("archive", r"/(\d{14})\.", 1)
-    stamped = rows.withColumn(FEED_TIME, F.try_to_timestamp(name, F.lit("yyyyMMddHHmmss")))
-    day = F.to_date(FEED_TIME).alias("date")
+    spark = rows.sparkSession
+    file = F.regexp_extract("archive", r"([^/]+)$", 1)
+    stamp = F.regexp_extract(file, r"^(\d{14})\.", 1)
+    columns = [c for c in rows.columns if c not in ("archive", "member")]
+    new = materialize(
+        rows.select(
+            *columns,
+            file.alias(ARCHIVE),
+            F.to_date(F.try_to_timestamp(stamp, F.lit("yyyyMMddHHmmss"))).alias(DAY),
+        )
+    )
+    schema = T.StructType([*rows.select(*columns).schema.fields, T.StructField(ARCHIVE, T.StringType())])
+    try:
+        before = read_table(spark, raw_path, schema, day_column=True)
+    except MissingTable:
+        whole = new
+    else:
+        landed = new.select(F.col(DAY).alias("_day"), F.col(ARCHIVE).alias("_archive")).distinct()
+        same_day = before[DAY].eqNullSafe(F.col("_day"))
+        touched = before.join(landed.select("_day").distinct(), same_day, "left_semi")
+        same = touched[DAY].eqNullSafe(F.col("_day")) & (touched[ARCHIVE] == F.col("_archive"))
+        whole = touched.join(landed, same, "left_anti").unionByName(new)
     (
-        stamped.select(*[c for c in rows.columns if c not in ("archive", "member")], day)
-        .hint("rebalance", F.col("date"))
+        whole.hint("rebalance", F.col(DAY))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
+        .partitionBy(DAY)
         .parquet(raw_path)
     )
+    spark.catalog.refreshByPath(raw_path)
 
 
 def land_candles(candles: DataFrame, raw_path: str) -> None:

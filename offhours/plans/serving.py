@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from offhours.functions.moments import finite_or_null, floor_slot, iso8601
 from offhours.operators.merge import keep_first
 from offhours.operators.ordered import fill_between
+from offhours.operators.profile import value_counts
 from offhours.schemas import DOCUMENTS
 
 # Histogram intervals to choose from, in seconds.
@@ -28,9 +29,14 @@ def to_documents(gold: DataFrame) -> DataFrame:
     source = gold.withColumn("timestamp", iso8601("Datetime"))
 
     def field(f: T.StructField):
-        number = f.dataType in (T.FloatType(),) or have[f.name] in ("float", "double")
-        value = finite_or_null(f.name) if number else F.col(f.name)
-        return value.try_cast(f.dataType).alias(f.name)
+        value = F.col(f.name)
+        if have[f.name] in ("float", "double"):
+            value = finite_or_null(value)
+        value = value.try_cast(f.dataType)
+        # A finite double may be infinite as a float.
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            value = finite_or_null(value)
+        return value.alias(f.name)
 
     return source.select(*[field(f) for f in DOCUMENTS if f.name in have])
 
@@ -76,17 +82,22 @@ def average_over_time(
 def average_auto(
     df: DataFrame, fields: Sequence[str], max_buckets: int = 100, ts: str = "Datetime"
 ) -> DataFrame:
-    """As ``average_over_time`` with the finest interval that stays within ``max_buckets``."""
+    """As ``average_over_time`` with the finest interval that stays within ``max_buckets``.
+
+    Above the listed intervals it is as many whole days as the span asks for.
+    """
     span = df.agg(F.struct(F.min(F.unix_seconds(ts)), F.max(F.unix_seconds(ts))).alias("s"))
     low, high = F.col("s.col1"), F.col("s.col2")
 
     def buckets(width: int):
         return F.floor(high / width) - F.floor(low / width) + 1
 
+    day = AUTO_INTERVALS[-1]
+    # n buckets of w cover any span of (n - 1) w, wherever it begins.
+    days = F.ceil((high - low + 1) / F.lit(day * max(1, max_buckets - 1)))
     width = F.coalesce(
-        *[F.when(buckets(w) <= max_buckets, F.lit(w)) for w in AUTO_INTERVALS],
-        F.lit(AUTO_INTERVALS[-1]),
-    )
+        *[F.when(buckets(w) <= max_buckets, F.lit(w)) for w in AUTO_INTERVALS], days * day
+    ).cast("int")
     chosen = span.select(width).scalar()
     with_width = df.withColumn("interval_seconds", chosen)
     bucket = floor_slot(ts, F.col("interval_seconds")).alias("bucket")
@@ -118,8 +129,7 @@ def fill_empty_buckets(
 
 def top_terms(df: DataFrame, field: str, size: int = 10) -> DataFrame:
     """Most frequent values by record count; ties in value order."""
-    counts = df.where(F.col(field).isNotNull()).groupBy(field).agg(F.count(F.lit(1)).alias("n"))
-    return counts.orderBy(F.desc("n"), field).limit(size)
+    return value_counts(df, field, size)
 
 
 def country_counts(countries: DataFrame, gold: DataFrame, code: str = "iso3") -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -19,13 +18,16 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Settings that only a new application takes: checkpoints go with their DataFrames.
+START_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 
 def build_session(app: str = "offhours", master: str | None = None, **extra: str) -> SparkSession:
     """Get or create a session; ``extra`` holds further ``spark.*`` settings."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **extra}.items():
+    for key, value in {**RUNTIME_SETTINGS, **START_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return prepare(builder.getOrCreate())
 
@@ -40,9 +42,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables, visible to all executors.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session,
-    whose single machine sees its own disk, may fall back to a new temporary
-    folder.
+    It is the one that ``spark.checkpoint.dir`` names. Where that is unset it lies
+    below the warehouse, which executors share as well.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -50,16 +51,24 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        named = tempfile.mkdtemp(prefix="offhours-")
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_offhours"
     context.setCheckpointDir(named)
+    _gone_at_exit(spark, context.getCheckpointDir())
     return context.getCheckpointDir()
 
 
+def _gone_at_exit(spark: SparkSession, path: str) -> None:
+    """Have a folder deleted when the application ends; nothing there is of use later."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.deleteOnExit(place)
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A new, unused folder path below the shared one."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused folder path below the shared one, which lasts as long as the application."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _gone_at_exit(spark, path)
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from offhours.functions.moments import finite_or_null
 from offhours.plans.serving import as_json, to_documents, with_document_id
 from offhours.schemas import DOCUMENTS
 from offhours.session import observed
@@ -26,14 +27,22 @@ def refused(gold: DataFrame) -> Column:
     """True for a row that its document cannot represent.
 
     That is a row without a timestamp, or with a value that the mapped type
-    cannot hold although it is neither null nor NaN.
+    cannot hold although it is neither null nor NaN; a finite number that a float
+    cannot hold is one.
     """
     have = dict(gold.dtypes)
     bad = F.col("Datetime").isNull()
     for f in DOCUMENTS:
-        if f.name not in have or isinstance(f.dataType, (T.StringType, T.FloatType)):
+        if f.name not in have or isinstance(f.dataType, T.StringType):
             continue
         value = F.col(f.name)
+        if isinstance(f.dataType, T.FloatType):
+            if have[f.name] == "double":
+                bad = bad | F.coalesce(
+                    finite_or_null(value).isNotNull() & finite_or_null(value.cast("float")).isNull(),
+                    F.lit(False),
+                )
+            continue
         present = value.isNotNull()
         if have[f.name] in ("float", "double"):
             present = present & ~F.isnan(value)

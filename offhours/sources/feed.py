@@ -3,8 +3,8 @@
 No market or event data ships with this repository. These adapters turn a table
 ``events(event_id, ts, user_id, event_type, value, props)`` into the two raw
 feeds, all by fixed formulas, so that pipelines can run, be checked and be timed
-on data of any size. Purchases make the market: a quarter hour on a weekday
-before 22:00 that has one is a candle. All other activity makes the events.
+on data of any size. Purchases make the market: a quarter hour that has one is a
+candle. All other activity makes the events.
 """
 
 from __future__ import annotations
@@ -12,8 +12,10 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,7 +89,7 @@ def raw_candles(activity: DataFrame) -> DataFrame:
     trades = activity.where("event_type = 'purchase'").select(
         F.struct("ts", "event_id", "value").alias("trade"), "value", floor_slot("ts").alias("slot")
     )
-    bars = trades.where("weekday(slot) < 5 AND hour(slot) < 22").groupBy("slot").agg(
+    bars = trades.groupBy("slot").agg(
         F.min("trade").alias("first"),
         F.max("trade").alias("last"),
         F.max("value").alias("high"),
@@ -138,3 +140,49 @@ def packed(raw: DataFrame) -> DataFrame:
             )
 
     return raw.mapInPandas(pack, "path string, content binary")
+
+
+def packed_slots(raw: DataFrame) -> DataFrame:
+    """Raw events as the feed delivers them: one zip archive per quarter hour."""
+    place = raw.columns.index("DATEADDED")
+
+    def zipped(stamp: str, lines: list[str]) -> bytes:
+        content = io.BytesIO()
+        with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr(f"{stamp}.export.CSV", "".join(lines))
+        return content.getvalue()
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for b in batches for row in zip(*[c.to_pylist() for c in b.columns]))
+        for stamp, some in groupby(rows, key=lambda row: row[place]):
+            lines = ["\t".join("" if v is None else v for v in row) + "\n" for row in some]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f"feed/{stamp}.export.CSV.zip"]), pa.array([zipped(stamp, lines)])],
+                ["path", "content"],
+            )
+
+    ordered = raw.repartition("DATEADDED").sortWithinPartitions("DATEADDED")
+    return ordered.mapInArrow(pack, "path string, content binary")
+
+
+# Numbers of all kinds, as text.
+AWKWARD = ["1.5", "NaN", "Infinity", "-Infinity", "1e39", "bad", "", None]
+
+
+def awkward_numbers(activity: DataFrame) -> DataFrame:
+    """``id``, ``ts``, ``x``, ``y``, ``w``: numbers with missing, NaN, infinite and too large ones.
+
+    ``x`` has all of them, ``y`` and ``w`` NaN only.
+    ``ts`` is null on some rows. One row per activity, by fixed formulas.
+    """
+    x = F.try_element_at(
+        F.array(*[F.lit(a) for a in AWKWARD]), (F.col("event_id") % (2 * len(AWKWARD)) + 1).cast("int")
+    )
+    plain = F.col("value")
+    return activity.select(
+        F.col("event_id").alias("id"),
+        F.when(F.col("event_id") % 11 != 0, F.col("ts").cast("timestamp")).alias("ts"),
+        F.when(F.col("event_id") % 16 < len(AWKWARD), x.try_cast("double")).otherwise(plain).alias("x"),
+        F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).otherwise(plain * 2 + F.col("user_id") % 7).alias("y"),
+        F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).otherwise(plain).alias("w"),
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -16,6 +17,38 @@ class MissingTable(FileNotFoundError):
     """A table that must exist does not, or holds no files."""
 
 
+class EmptyResult(ValueError):
+    """A rebuild came out without a row; the table it was to replace stays."""
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a data file, at any depth; stops at the first one."""
+    fs, place = _hadoop(spark, path)
+    if not fs.exists(place):
+        return False
+    files = fs.listFiles(place, True)
+    while files.hasNext():
+        relative = files.next().getPath().toString()[len(fs.makeQualified(place).toString()) :]
+        if not any(part[:1] in ("_", ".") for part in relative.split("/") if part):
+            return True
+    return False
+
+
+def _require_files(spark: SparkSession, paths: Sequence[str]) -> None:
+    if not any(has_files(spark, p) for p in paths):
+        raise MissingTable(", ".join(paths))
+
+
+def _is_missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def _partitioned(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
 
@@ -23,12 +56,15 @@ def _partitioned(schema: T.StructType) -> T.StructType:
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType, day_column: bool = False
 ) -> DataFrame:
-    """A day-partitioned table with its declared schema (no footer is merged or sampled)."""
-    try:
-        df = spark.read.schema(_partitioned(schema)).parquet(path)
-    except AnalysisException as error:
-        raise MissingTable(path) from error
-    return df if day_column else df.drop(DAY)
+    """A day-partitioned table with its declared schema (no footer is merged or sampled).
+
+    A folder that does not exist or holds no files is missing; other errors rise
+    as they are. A table left aside by a swap that was cut off is put back first.
+    """
+    _recover(spark, path)
+    _require_files(spark, [path])
+    df = spark.read.schema(_partitioned(schema)).parquet(path)
+    return df.select(*[f"`{c}`" for c in schema.names], *([DAY] if day_column else []))
 
 
 def read_day(spark: SparkSession, path: str, schema: T.StructType, day: str) -> DataFrame | None:
@@ -56,10 +92,13 @@ def read_folders(
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", False)
     reader = reader.schema(schema) if schema else reader
+    _require_files(spark, paths)
     try:
         return reader.parquet(*paths)
     except AnalysisException as error:
-        raise MissingTable(", ".join(paths)) from error
+        if _is_missing(error):
+            raise MissingTable(", ".join(paths)) from error
+        raise
 
 
 def by_day(df: DataFrame, ts: str) -> DataFrame:
@@ -93,11 +132,14 @@ def write_days(df: DataFrame, path: str, ts: str, mode: str = "overwrite") -> No
 def write_whole(df: DataFrame, path: str, ts: str) -> None:
     """Replace a whole table, which may itself be an input of ``df``.
 
-    The new table is written aside and takes the old one's place once complete,
-    so a job that fails leaves the old table as it was.
+    The new table is written aside, in a folder of its own, and takes the old
+    one's place once complete: a job that fails, or that comes out without a row,
+    leaves the old table as it was. A crash between the two renames leaves it in
+    ``<path>__old``, from where the next read or write puts it back.
     """
-    target = path.rstrip("/")
-    staging = f"{target}__staging"
+    spark, target = df.sparkSession, path.rstrip("/")
+    _recover(spark, target)
+    staging = f"{target}__staging-{uuid.uuid4().hex}"
     (
         by_day(df, ts)
         .sortWithinPartitions(DAY, ts)
@@ -106,16 +148,30 @@ def write_whole(df: DataFrame, path: str, ts: str) -> None:
         .partitionBy(DAY)
         .parquet(staging)
     )
-    _swap(df.sparkSession, staging, target)
+    if not has_files(spark, staging):
+        fs, place = _hadoop(spark, staging)
+        fs.delete(place, True)
+        raise EmptyResult(target)
+    _swap(spark, staging, target)
+
+
+def _recover(spark: SparkSession, target: str) -> None:
+    """Put back a table that a swap had set aside when it was cut off."""
+    target = target.rstrip("/")
+    fs, live = _hadoop(spark, target)
+    _, old = _hadoop(spark, f"{target}__old")
+    if not fs.exists(live) and fs.exists(old):
+        fs.rename(old, live)
 
 
 def _swap(spark: SparkSession, staging: str, target: str) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    new, live, old = (hadoop.Path(p) for p in (staging, target, f"{target}__old"))
-    fs = live.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(old, True)
-    if fs.exists(live) and not fs.rename(live, old):
-        raise OSError(f"could not set {target} aside")
+    fs, live = _hadoop(spark, target)
+    (_, new), (_, old) = _hadoop(spark, staging), _hadoop(spark, f"{target}__old")
+    if fs.exists(live):
+        # What lies in the old place is from a swap that was finished: live is newer.
+        fs.delete(old, True)
+        if not fs.rename(live, old):
+            raise OSError(f"could not set {target} aside")
     if not fs.rename(new, live):
         raise OSError(f"could not move {staging} to {target}; the former table is in {target}__old")
     fs.delete(old, True)

@@ -27,9 +27,10 @@ def add_events(silver: str, rules: EventRules = EventRules()):
         clean = clean_events(batch, rules)
         try:
             existing = read_table(batch.sparkSession, silver, SILVER_EVENTS)
-            clean = new_only(existing, clean, EVENT_KEY)
         except MissingTable:
-            pass
+            existing = None
+        if existing is not None:
+            clean = new_only(existing, clean, EVENT_KEY)
         write_days(clean, silver, "DATEADDED", mode="append")
 
     return handle

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import tempfile
 import sys
 
 import pytest
@@ -18,6 +19,8 @@ def spark():
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="offhours-tests-"),
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="offhours-warehouse-"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
