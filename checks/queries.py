@@ -584,10 +584,10 @@ def _(layers):
     """SELECT 'Close' AS field, bucket, Close IS NULL AS filled,
               round(CASE WHEN Close IS NOT NULL THEN Close
                     ELSE pv + (nv - pv) * ((epoch(bucket) - epoch(pt)) / (epoch(nt) - epoch(pt)))
-                    END, 6) AS value
+                    END, 9) AS value
        FROM neighbours""",
     extra=FILL_SQL,
-    digits=6,
+    digits=9,
 )
 def _(layers):
     per_bucket = serving.average_over_time(layers.stored_gold, ["Close"])

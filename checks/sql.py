@@ -5,11 +5,30 @@
 
 from __future__ import annotations
 
-from offhours.functions.geo import FIPS2_TO_ISO3, FIPS2_WEIGHT, ISO3_WEIGHT
-from offhours.plans.events import MAJOR_ROOT_CODES
 from offhours.sources.feed import ACTOR1, ACTOR2, ACTOR_TYPES, FEED_START, PLACES
 
 
+# Fixed values, written out again so that the SQL does not depend on the code it checks:
+# weights by ISO3 code, FIPS codes of the same countries, and root codes of major events.
+ISO3_WEIGHT = {
+    "SAU": 6, "RUS": 6, "IRN": 6, "IRQ": 6, "USA": 4, "ARE": 3, "KWT": 3, "CAN": 3, "NOR": 3,
+    "KAZ": 3, "BRA": 3, "VEN": 3, "LBY": 3, "NGA": 3, "AGO": 3, "CHN": 2, "IND": 2, "MEX": 2,
+    "EGY": 2, "TUR": 2, "PAN": 2, "YEM": 2, "JPN": 2, "KOR": 2, "DEU": 2, "FRA": 2, "GBR": 2,
+}
+FIPS2_TO_ISO3 = {
+    "SA": "SAU", "RS": "RUS", "IR": "IRN", "IZ": "IRQ", "US": "USA", "AE": "ARE", "KU": "KWT",
+    "CA": "CAN", "NO": "NOR", "KZ": "KAZ", "BR": "BRA", "VE": "VEN", "LY": "LBY", "NI": "NGA",
+    "AO": "AGO", "CH": "CHN", "IN": "IND", "MX": "MEX", "EG": "EGY", "TU": "TUR", "PM": "PAN",
+    "YM": "YEM", "JA": "JPN", "KS": "KOR", "GM": "DEU", "FR": "FRA", "UK": "GBR",
+}
+FIPS2_WEIGHT = {
+    "SA": 6, "RS": 6, "IR": 6, "IZ": 6, "US": 4, "AE": 3, "KU": 3, "CA": 3, "NO": 3, "KZ": 3,
+    "BR": 3, "VE": 3, "LY": 3, "NI": 3, "AO": 3, "CH": 2, "IN": 2, "MX": 2, "EG": 2, "TU": 2,
+    "PM": 2, "YM": 2, "JA": 2, "KS": 2, "GM": 2, "FR": 2, "UK": 2,
+}
+MAJOR_ROOT_CODES = (6, 8, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20)
+
+
 def case(code: str, table: dict, default: str = "NULL") -> str:
     def lit(v):
         return f"'{v}'" if isinstance(v, str) else str(v)

@@ -36,9 +36,8 @@ QUAD_LABELS = {1: "Verbal Coop", 2: "Material Coop", 3: "Verbal Conflict", 4: "M
 
 def lookup(key: Column | str, table: dict) -> Column:
     """Value of ``key`` in a small literal table; null when absent."""
-    entries = ", ".join(repr(x) for pair in table.items() for x in pair)
-    key = F.col(key) if isinstance(key, str) else key
-    return F.try_element_at(F.expr(f"map({entries})"), key)
+    entries = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    return F.try_element_at(entries, F.col(key) if isinstance(key, str) else key)
 
 
 def country_weight(code: Column | str, table: dict[str, int] = ISO3_WEIGHT) -> Column:

@@ -147,7 +147,8 @@ def with_position(
     Rows without a timestamp have no place in it: their position is null.
     """
     df = df.withColumn(_DAY, bucket_number(ts, bucket_seconds))
-    per_day = df.groupBy(*keys, _DAY).agg(F.count(F.lit(1)).alias("_n"))
+    placed = df.where(F.col(_DAY).isNotNull())
+    per_day = placed.groupBy(*keys, _DAY).agg(F.count(F.lit(1)).alias("_n"))
     earlier = _days(keys).rowsBetween(Window.unboundedPreceding, -1)
     before = per_day.select(
         *keys, _DAY, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
