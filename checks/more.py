@@ -18,7 +18,7 @@ from checks.queries import (
 )
 from offhours import jobs
 from offhours.operators import profile
-from offhours.plans import candles, events, serving
+from offhours.plans import candles, events, gold, serving
 from offhours.plans.events import EventRules
 from offhours.plans.landing import land_rows
 from offhours.schemas import DOCUMENTS, GOLD, RAW_EVENTS, SILVER_CANDLES, SILVER_EVENTS
@@ -147,7 +147,7 @@ def _(layers):
     return profile.score_diagnostics(feed.awkward_numbers(layers.activity), ["y"])
 
 
-def spoiled(gold: DataFrame) -> DataFrame:
+def spoiled(index: DataFrame) -> DataFrame:
     """The index with NaN, infinities, too large numbers and lost timestamps."""
     number = F.unix_seconds("Datetime") / 900
     kind = (number % 5).cast("int")
@@ -158,7 +158,7 @@ def spoiled(gold: DataFrame) -> DataFrame:
         .otherwise(F.col("Close"))
     )
     lost = (number % 7).cast("int") == 0
-    return gold.withColumns(
+    return index.withColumns(
         {"Close": close, "Datetime": F.when(~lost, F.col("Datetime"))}
     )
 
@@ -202,6 +202,25 @@ def _(layers):
     )
 
 
+@query("gold_hour_buckets", f"{GOLD_SQL} FROM gold", digits=6)
+def _(layers):
+    """The index with all ordered steps inside hours instead of days."""
+    return gold.stress_index(layers.candles, layers.events, gold.GoldRules(bucket_seconds=3600))
+
+
+@query(
+    "ordered_hour_buckets",
+    """SELECT Datetime, Close, Variation_Pct,
+              round(avg(Close) OVER (ORDER BY Datetime ROWS 9 PRECEDING), 9) AS rolling_mean
+       FROM silver_candles""",
+    digits=9,
+)
+def _(layers):
+    rows = candles.clean_candles(layers.raw_candles, bucket_seconds=3600)
+    means = profile.rolling_mean(rows, "Datetime", "Close", 10, bucket_seconds=3600)
+    return means.select("Datetime", "Close", "Variation_Pct", "rolling_mean")
+
+
 # --- stored tables --------------------------------------------------------------------
 
 

@@ -9,7 +9,8 @@ are de-duplicated or aggregated first), so a day holds at most 86,400 rows at
 one-second resolution, however many raw events stand behind them. The per-day
 table is bounded by the calendar, about 11,000 rows for thirty years; only that
 table is ever ordered as a whole. A series finer than a second takes shorter
-buckets than a day (``bucket_seconds``).
+buckets than a day (``bucket_seconds``); buckets are then ordered inside their
+days, and days among one another, so the one-task table stays one row per day.
 
 Except for ``rolling`` and ``next_open``, the operators read their input twice,
 once for the rows and once for the per-day table, so it should be a stored table
@@ -33,6 +34,36 @@ def _days(keys: Sequence[str]) -> Window:
     return Window.partitionBy(*keys).orderBy(_DAY) if keys else Window.orderBy(_DAY)
 
 
+def _neighbour(
+    per_bucket: DataFrame, value: Column, keys: Sequence[str], bucket_seconds: int, before: bool
+) -> DataFrame:
+    """``_carried``: ``value`` of the bucket before (or after) each one, among those there are."""
+    step = F.lag if before else F.lead
+    rows = per_bucket.select(*keys, _DAY, value.alias("_value"))
+    if bucket_seconds >= DAY_SECONDS:
+        return rows.select(*keys, _DAY, step("_value").over(_days(keys)).alias("_carried"))
+    calendar = F.floor(F.col(_DAY) * bucket_seconds / DAY_SECONDS).cast("long")
+    rows = rows.withColumn("_calendar", calendar)
+    inside = Window.partitionBy(*keys, "_calendar").orderBy(_DAY)
+    edge = (F.max if before else F.min)(F.struct(_DAY, "_value"))
+    whole = Window.partitionBy(*keys).orderBy("_calendar") if keys else Window.orderBy("_calendar")
+    per_day = rows.groupBy(*keys, "_calendar").agg(edge.alias("_edge")).select(
+        *keys, "_calendar", step("_edge._value").over(whole).alias("_from_day")
+    )
+    return (
+        rows.withColumn("_other", step(_DAY).over(inside))
+        .withColumn("_inside", step("_value").over(inside))
+        .join(per_day, [*keys, "_calendar"], "left")
+        .select(
+            *keys,
+            _DAY,
+            F.when(F.col("_other").isNull(), F.col("_from_day"))
+            .otherwise(F.col("_inside"))
+            .alias("_carried"),
+        )
+    )
+
+
 def lag_in_time(
     df: DataFrame,
     ts: str,
@@ -48,9 +79,7 @@ def lag_in_time(
     """
     df = df.withColumn(_DAY, bucket_number(ts, bucket_seconds))
     last_of_day = df.groupBy(*keys, _DAY).agg(F.max(F.struct(ts, value)).alias("_last"))
-    carried = last_of_day.select(
-        *keys, _DAY, F.lag(f"_last.{value}").over(_days(keys)).alias("_carried")
-    )
+    carried = _neighbour(last_of_day, F.col(f"_last.{value}"), keys, bucket_seconds, before=True)
     inside = Window.partitionBy(*keys, _DAY).orderBy(ts)
     return (
         df.withColumn("_pos", F.row_number().over(inside))
@@ -73,9 +102,7 @@ def lead_in_time(
     df = df.withColumn(_DAY, bucket_number(ts, bucket_seconds))
     payload = F.struct(ts, *values)
     first_of_day = df.groupBy(*keys, _DAY).agg(F.min(payload).alias("_first"))
-    carried = first_of_day.select(
-        *keys, _DAY, F.lead("_first").over(_days(keys)).alias("_carried")
-    )
+    carried = _neighbour(first_of_day, F.col("_first"), keys, bucket_seconds, before=False)
     inside = Window.partitionBy(*keys, _DAY).orderBy(ts)
     return (
         df.withColumn("_inside", F.lead(payload).over(inside))
@@ -113,8 +140,9 @@ def next_open(
     )
     # A day's first open serves every day since the one that last had an open.
     # Days before the first open day are met by the overall first open below.
-    served = first_open.withColumn("_since", F.lag(_DAY).over(_days(()))).select(
-        F.explode(F.sequence(F.coalesce("_since", F.col(_DAY) - 1), F.col(_DAY) - 1)).alias(_DAY),
+    since = _neighbour(first_open, F.col(_DAY), (), bucket_seconds, before=True)
+    served = first_open.join(since, _DAY).select(
+        F.explode(F.sequence(F.coalesce("_carried", F.col(_DAY) - 1), F.col(_DAY) - 1)).alias(_DAY),
         "_later_open",
     )
     very_first = opens.agg(F.min(open_ts).alias("_first")).scalar()
@@ -135,6 +163,29 @@ def next_open(
     )
 
 
+def _rows_before(per_bucket: DataFrame, keys: Sequence[str], bucket_seconds: int) -> DataFrame:
+    """``_before``: the rows (``_n``) of all earlier buckets."""
+
+    def running(order: Window) -> Column:
+        earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+
+    if bucket_seconds >= DAY_SECONDS:
+        return per_bucket.select(*keys, _DAY, running(_days(keys)).alias("_before"))
+    calendar = F.floor(F.col(_DAY) * bucket_seconds / DAY_SECONDS).cast("long")
+    rows = per_bucket.withColumn("_calendar", calendar)
+    whole = Window.partitionBy(*keys).orderBy("_calendar") if keys else Window.orderBy("_calendar")
+    per_day = rows.groupBy(*keys, "_calendar").agg(F.sum("_n").alias("_n")).select(
+        *keys, "_calendar", running(whole).alias("_earlier_days")
+    )
+    inside = Window.partitionBy(*keys, "_calendar").orderBy(_DAY)
+    return (
+        rows.withColumn("_inside", running(inside))
+        .join(per_day, [*keys, "_calendar"])
+        .select(*keys, _DAY, (F.col("_earlier_days") + F.col("_inside")).alias("_before"))
+    )
+
+
 def with_position(
     df: DataFrame,
     ts: str,
@@ -149,10 +200,7 @@ def with_position(
     df = df.withColumn(_DAY, bucket_number(ts, bucket_seconds))
     placed = df.where(F.col(_DAY).isNotNull())
     per_day = placed.groupBy(*keys, _DAY).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = _days(keys).rowsBetween(Window.unboundedPreceding, -1)
-    before = per_day.select(
-        *keys, _DAY, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
+    before = _rows_before(per_day, keys, bucket_seconds)
     inside = Window.partitionBy(*keys, _DAY).orderBy(ts)
     return (
         df.withColumn("_inside", F.row_number().over(inside))
@@ -205,6 +253,7 @@ def fill_between(
     step_seconds: Column | int,
     keys: Sequence[str] = (),
     linear: bool = False,
+    bucket_seconds: int = DAY_SECONDS,
 ) -> DataFrame:
     """Add the missing steps between the first and the last row of a series.
 
@@ -213,7 +262,7 @@ def fill_between(
     them.
     """
     step = step_seconds if isinstance(step_seconds, Column) else F.lit(step_seconds)
-    following = lead_in_time(df, ts, values, "_next", keys)
+    following = lead_in_time(df, ts, values, "_next", keys, bucket_seconds)
     here, there = F.unix_seconds(F.col(ts)), F.unix_seconds(F.col(f"_next.{ts}"))
     last_step = F.coalesce(F.floor((there - here - 1) / step), F.lit(0)).cast("long")
     spread = (

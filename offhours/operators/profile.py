@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from offhours.functions.market import percent_change
 from offhours.operators.merge import keep_first
-from offhours.operators.ordered import lag_in_time, rolling, with_position
+from offhours.operators.ordered import DAY_SECONDS, lag_in_time, rolling, with_position
 from offhours.operators.ranking import exact_quantiles
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -280,16 +280,21 @@ def filter_funnel(
     )
 
 
-def returns(candles: DataFrame, ts: str = "Datetime", price: str = "Close") -> DataFrame:
+def returns(
+    candles: DataFrame,
+    ts: str = "Datetime",
+    price: str = "Close",
+    bucket_seconds: int = DAY_SECONDS,
+) -> DataFrame:
     """Add ``return_pct``: unrounded change in percent from the row before."""
-    lagged = lag_in_time(candles, ts, price, "_prev")
+    lagged = lag_in_time(candles, ts, price, "_prev", bucket_seconds=bucket_seconds)
     return lagged.withColumn("return_pct", percent_change(price, "_prev")).drop("_prev")
 
 
-def intervals(df: DataFrame, ts: str) -> DataFrame:
+def intervals(df: DataFrame, ts: str, bucket_seconds: int = DAY_SECONDS) -> DataFrame:
     """Add ``gap_seconds``: seconds since the row before, null on the first."""
     stamped = df.withColumn("_at", F.unix_seconds(ts))
-    lagged = lag_in_time(stamped, ts, "_at", "_prev")
+    lagged = lag_in_time(stamped, ts, "_at", "_prev", bucket_seconds=bucket_seconds)
     return lagged.withColumn("gap_seconds", F.col("_at") - F.col("_prev")).drop("_at", "_prev")
 
 
@@ -306,10 +311,15 @@ def interval_profile(df: DataFrame, ts: str) -> DataFrame:
 
 
 def rolling_mean(
-    df: DataFrame, ts: str, column: str, rows: int = 96, out: str = "rolling_mean"
+    df: DataFrame,
+    ts: str,
+    column: str,
+    rows: int = 96,
+    out: str = "rolling_mean",
+    bucket_seconds: int = DAY_SECONDS,
 ) -> DataFrame:
     """Mean over the last ``rows`` rows, from the first row on."""
-    placed = with_position(df, ts, "_position")
+    placed = with_position(df, ts, "_position", bucket_seconds=bucket_seconds)
     window = {out: lambda w: F.avg(column).over(w)}
     return rolling(placed, "_position", rows - 1, window).drop("_position")
 
@@ -321,9 +331,10 @@ def rolling_std(
     rows: int = 96,
     at_least: int = 20,
     out: str = "rolling_std",
+    bucket_seconds: int = DAY_SECONDS,
 ) -> DataFrame:
     """Sample std over the last ``rows`` rows; null below ``at_least`` known values."""
-    placed = with_position(df, ts, "_position")
+    placed = with_position(df, ts, "_position", bucket_seconds=bucket_seconds)
 
     def spread(w):
         return F.when(F.count(column).over(w) >= at_least, F.stddev_samp(column).over(w))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from offhours.functions.market import candle_range, percent_change
 from offhours.operators.merge import keep_one, upsert_existing_wins
-from offhours.operators.ordered import lag_in_time
+from offhours.operators.ordered import DAY_SECONDS, lag_in_time
 from offhours.schemas import SILVER_CANDLES, TYPED_CANDLES, conform
 
 CANDLE_KEY = ["Datetime"]
@@ -57,17 +57,19 @@ def add_range(candles: DataFrame) -> DataFrame:
     return candles.withColumn("Volatility_Range", candle_range())
 
 
-def add_variation(candles: DataFrame) -> DataFrame:
+def add_variation(candles: DataFrame, bucket_seconds: int = DAY_SECONDS) -> DataFrame:
     """Add the change in percent from the close of the candle before."""
-    lagged = lag_in_time(candles, "Datetime", "Close", "_prev")
+    lagged = lag_in_time(candles, "Datetime", "Close", "_prev", bucket_seconds=bucket_seconds)
     change = F.round(percent_change("Close", "_prev"), 4)
     return lagged.withColumn("Variation_Pct", change).drop("_prev")
 
 
-def clean_candles(raw: DataFrame, sort: bool = False) -> DataFrame:
+def clean_candles(
+    raw: DataFrame, sort: bool = False, bucket_seconds: int = DAY_SECONDS
+) -> DataFrame:
     """Type, de-duplicate and enrich raw candles."""
     unique = keep_one(cast_candles(raw), CANDLE_KEY)
-    silver = add_variation(add_range(unique)).select(*SILVER_CANDLES.names)
+    silver = add_variation(add_range(unique), bucket_seconds).select(*SILVER_CANDLES.names)
     return silver.orderBy("Datetime") if sort else silver
 
 

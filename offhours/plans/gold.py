@@ -10,18 +10,23 @@ from pyspark.sql import functions as F
 
 from offhours.functions.market import position_in_range
 from offhours.operators.merge import days_around, replace_day
-from offhours.operators.ordered import next_open, rolling, with_position
+from offhours.operators.ordered import DAY_SECONDS, next_open, rolling, with_position
 from offhours.operators.slots import join_timeline, slot_scores, smooth_periods
 from offhours.schemas import GOLD
 
 
 @dataclass(frozen=True)
 class GoldRules:
-    """Weight of the peak in the smoothing, and rows the rolling window looks back on."""
+    """Weight of the peak in the smoothing, rows the rolling window looks back on, bucket length.
+
+    ``bucket_seconds`` is how much of the series one task may have to order; series
+    finer than a second take less than a day. The results do not depend on it.
+    """
 
     alpha: float = 0.25
     window_rows: int = 672
     floor_slots: bool = False
+    bucket_seconds: int = DAY_SECONDS
 
 
 def open_candles(candles: DataFrame) -> DataFrame:
@@ -29,14 +34,17 @@ def open_candles(candles: DataFrame) -> DataFrame:
     return candles.where(F.col("Datetime").isNotNull() & F.col("Close").isNotNull())
 
 
-def assign_periods(candles: DataFrame, slots: DataFrame) -> DataFrame:
+def assign_periods(
+    candles: DataFrame, slots: DataFrame, bucket_seconds: int = DAY_SECONDS
+) -> DataFrame:
     """The joined timeline with the candle each row counts towards.
 
     Rows after the last open candle count towards none and are dropped.
     """
     stamped = candles.where(F.col("Datetime").isNotNull())
     timeline = join_timeline(stamped, slots)
-    assigned = next_open(timeline, open_candles(candles).select("Datetime"))
+    opens = open_candles(candles).select("Datetime")
+    assigned = next_open(timeline, opens, bucket_seconds=bucket_seconds)
     return assigned.where(F.col("target_open_datetime").isNotNull())
 
 
@@ -76,8 +84,9 @@ def candle_scores(
     pass over the events.
     """
     slots = slot_scores(events, rules.floor_slots)
-    periods = smooth_periods(assign_periods(candles, slots), rules.alpha)
-    placed = with_position(open_candles(candles), "Datetime", "_position")
+    bucket = rules.bucket_seconds
+    periods = smooth_periods(assign_periods(candles, slots, bucket), rules.alpha)
+    placed = with_position(open_candles(candles), "Datetime", "_position", bucket_seconds=bucket)
     return rolling_score(join_periods(placed, periods), "_position", rules).drop("_position")
 
 
