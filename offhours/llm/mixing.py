@@ -152,11 +152,12 @@ def mixed(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    # Both tables have a bound: ranges and sources, and the rows of a period.
-    numbered = placed.join(F.broadcast(offsets), ["source", "bucket"]).select(
+    # The rows lie by range already, so only the small side moves.
+    numbered = placed.join(offsets, ["source", "bucket"]).select(
         "doc", "source", (F.col("offset") + F.col("inside")).alias("start")
     )
     blocks = numbered.withColumn("number", F.expr(f"start div {int(block_bytes)}"))
+    # Broadcast tables have the rows of a period, whatever the data.
     units = periods.select("source", "units").distinct()
     in_period = blocks.join(F.broadcast(units), "source").withColumn("block", F.expr("number % units"))
     turn = F.expr("number div units") * F.col("period")
