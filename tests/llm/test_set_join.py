@@ -70,7 +70,7 @@ def test_equals_all_pairs(spark):
     compare(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
 
 
-@pytest.mark.parametrize("width, percent", [(3, 90), (5, 80), (1, 60)])
+@pytest.mark.parametrize("width, percent", [(3, 90), (5, 80)])
 def test_near_copies(spark, width, percent):
     compare(documents(spark, near_copies()), width, percent)
 
