@@ -123,22 +123,28 @@ def _surveyed(docs: DataFrame, width: int) -> DataFrame:
 def _levels(survey: DataFrame) -> np.ndarray:
     """For each first bits of a hash, the logarithm of how many shingles have them."""
 
+    def total(frame: pa.Table, kind) -> np.ndarray:
+        out = np.zeros(1 << _PART_BITS, np.uint64)
+        for some in frame["counts"].to_pylist():
+            out += np.frombuffer(some, kind).astype(np.uint64)
+        return out
+
     def add(frame: pa.Table) -> pa.Table:
-        total = np.zeros(1 << _PART_BITS, np.uint64)
-        for some, wide in zip(frame["counts"].to_pylist(), frame["wide"].to_pylist()):
-            total += np.frombuffer(some, np.uint64 if wide else np.uint16).astype(np.uint64)
-        return pa.table({"n": frame["n"].slice(0, 1), "counts": pa.array([total.tobytes()]), "wide": [True]})
+        return pa.table({"n": frame["n"].slice(0, 1), "counts": [total(frame, np.uint16).tobytes()]})
+
+    def level(frame: pa.Table) -> pa.Table:
+        counts = np.maximum(total(frame, np.uint64), 1)
+        levels = np.ceil(4 * np.log2(counts)).astype(np.uint8)
+        return pa.table({"n": frame["n"].slice(0, 1), "levels": [levels.tobytes()]})
 
-    schema = "n long, counts binary, wide boolean"
-    parts = survey.where("kind = 1").select("n", "counts", F.lit(False).alias("wide"))
+    parts = survey.where("kind = 1").select("n", "counts")
     # Two steps, so that no task adds up the counts of very many others.
-    some = parts.groupBy("n", F.pmod(F.xxhash64("counts"), F.lit(32))).applyInArrow(add, schema)
-    out = np.zeros(1 << COUNT_BITS, np.uint64)
-    for row in some.groupBy("n").applyInArrow(add, schema).select(
-        "n", "counts"
-    ).toLocalIterator():  # 2 ** (COUNT_BITS - _PART_BITS) rows of fixed size
-        out[row["n"] << _PART_BITS : (row["n"] + 1) << _PART_BITS] = np.frombuffer(row["counts"], np.uint64)
-    return np.ceil(4 * np.log2(np.maximum(out, 1))).astype(np.uint8)
+    some = parts.groupBy("n", F.pmod(F.xxhash64("counts"), F.lit(32))).applyInArrow(add, "n long, counts binary")
+    found = some.groupBy("n").applyInArrow(level, "n long, levels binary")
+    out = np.zeros(1 << COUNT_BITS, np.uint8)
+    for row in found.toLocalIterator():  # 2 ** COUNT_BITS bytes in all
+        out[row["n"] << _PART_BITS : (row["n"] + 1) << _PART_BITS] = np.frombuffer(row["levels"], np.uint8)
+    return out
 
 
 def ordered(values: np.ndarray, levels: np.ndarray) -> np.ndarray:
