@@ -148,8 +148,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         seen.join(repeated.select("hash"), "hash").select("hash", "id", "key", "number"), "places"
     )
     # One row per hash; equal places combine map-side first, so a chunk that a third
-    # of all documents hold is no heavy group.
-    firsts = places.groupBy("hash").agg(F.min(F.struct("id", "key", "number")).alias("first"))
+    # of all documents hold is no heavy group. Written apart, so that Spark may split
+    # the places of such a chunk in the join.
+    firsts = stored(
+        places.groupBy("hash").agg(F.min(F.struct("id", "key", "number")).alias("first")), "firsts"
+    )
     copies = places.join(firsts, "hash").where(F.struct("id", "key", "number") != F.col("first"))
     cuts = stored(
         copies.select("id", "key", "number").distinct()
