@@ -227,7 +227,15 @@ def _count_of_counts(total: np.ndarray) -> list[int]:
     return np.bincount(np.minimum(total, K + 2), minlength=K + 3)[: K + 2].tolist()
 
 
-_ANSWER = "range int, chunk long, word_c binary, many binary, pair_r binary, own binary, stats array<long>"
+def _spread(total: np.ndarray) -> list[list[int]]:
+    """Each count above 0 and how many things have it."""
+    return [x.tolist() for x in np.unique(total[total > 0], return_counts=True)]
+
+
+_ANSWER = (
+    "range int, chunk long, word_c binary, many binary, pair_r binary, own binary, stats array<long>,"
+    " spread array<array<long>>"
+)
 
 
 def _answer(frame: pa.Table) -> pa.Table:
@@ -236,7 +244,8 @@ def _answer(frame: pa.Table) -> pa.Table:
     ``many`` says which words other chunks hold too.
 
     ``stats``, on one row of the range: tokens, distinct tokens, texts, then how many
-    words and how many pairs occur 0 to K + 1 times.
+    words and how many pairs occur 0 to K + 1 times. ``spread``, beside it: the counts
+    of words, how many words have each, and the same of pairs.
     """
     frame = frame.sort_by("chunk")
     rows = frame.to_pylist()
@@ -253,6 +262,7 @@ def _answer(frame: pa.Table) -> pa.Table:
     counted = word_c[distinct != START]
     stats = [int(counted.sum()), int((counted > 0).sum()), int(starts)]
     stats += _count_of_counts(counted) + _count_of_counts(pair_r)
+    spread = _spread(counted) + _spread(pair_r)
     out, w, p = [], 0, 0
     for i, r in enumerate(rows):
         a, b = slice(w, w + len(words[i])), slice(p, p + len(pairs[i]))
@@ -262,11 +272,12 @@ def _answer(frame: pa.Table) -> pa.Table:
                 r["range"], r["chunk"],
                 pack(word_c[word_at[a]]), pack(held_by[word_at[a]] > 1), pack(pair_r[pair_at[b]].astype(np.int32)), pack(own[b]),
                 stats if i == 0 else None,
+                spread if i == 0 else None,
             )
         )
     cols = list(zip(*out))
-    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4, pa.list_(pa.int64())]
-    names = ["range", "chunk", "word_c", "many", "pair_r", "own", "stats"]
+    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4, pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))]
+    names = ["range", "chunk", "word_c", "many", "pair_r", "own", "stats", "spread"]
     return pa.table({name: pa.array(c, kind) for name, c, kind in zip(names, cols, kinds)})
 
 
@@ -293,13 +304,43 @@ def discounts(n: list[int]) -> np.ndarray:
     return d
 
 
+def smooth_discounts(spread: dict[int, int]) -> np.ndarray:
+    """d(0) to d(K) from all counts r and how many things have each.
+
+    Katz's formula on counts of counts smoothed by Gale's log-linear fit (Gale and
+    Sampson, 1995): each n(r) is spread over the gap to its neighbours, and a line
+    is laid through their logarithms. Copies, which lift single counts of counts,
+    leave the discounts between 0 and 1 as long as the line falls by more than 1.
+    Where it does not, or where there is no line, ``discounts`` decides.
+    """
+    r = np.array(sorted(spread), np.float64)
+    n = np.array([spread[int(x)] for x in r], np.float64)
+    if len(r) > 1:
+        below = np.concatenate([[0], r[:-1]])
+        above = np.concatenate([r[1:], [2 * r[-1] - below[-1]]])
+        slope = np.polyfit(np.log(r), np.log(2 * n / (above - below)), 1)[0]
+        a = (K + 1.0) ** (slope + 1)
+        if a < 1:
+            low = np.arange(1, K + 1)
+            d = np.ones(K + 1)
+            d[1:] = (((low + 1) / low) ** (slope + 1) - a) / (1 - a)
+            return d
+    return discounts([spread.get(i, 0) for i in range(K + 2)])
+
+
 class Model:
-    """What every chunk needs to know besides its answers; a few numbers."""
+    """What every chunk needs to know besides its answers; a few numbers.
+
+    With ``spreads``, of words and of pairs, the discounts are smoothed.
+    """
 
-    def __init__(self, stats: list[int]):
+    def __init__(self, stats: list[int], spreads: tuple[dict, dict] | None = None):
         self.tokens, self.types, self.texts = stats[:3]
         word_n, pair_n = stats[3 : 3 + K + 2], stats[3 + K + 2 :]
-        self.word_d, self.pair_d = discounts(word_n), discounts(pair_n)
+        if spreads is None:
+            self.word_d, self.pair_d = discounts(word_n), discounts(pair_n)
+        else:
+            self.word_d, self.pair_d = map(smooth_discounts, spreads)
         r = np.arange(K + 1)
         freed = float(((1 - self.word_d) * r * np.array(word_n[: K + 1]))[1:].sum())
         # Were nothing freed, unknown words would get one count on top.
@@ -450,13 +491,28 @@ def _evaluate(model: Model):
     return run
 
 
-def katz_scores(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def _spreads(answers: DataFrame) -> tuple[dict, dict]:
+    """How many words, and how many pairs, have each count; a row per distinct count."""
+    out = []
+    for i in (0, 2):
+        rows = (
+            answers.where("spread IS NOT NULL")
+            .select(F.explode(F.arrays_zip(F.col("spread")[i].alias("r"), F.col("spread")[i + 1].alias("n"))).alias("x"))
+            .groupBy("x.r").agg(F.sum("x.n").alias("n"))
+        )
+        out.append({r["r"]: r["n"] for r in rows.toLocalIterator()})
+    return tuple(out)
+
+
+def katz_scores(docs: DataFrame, chunk: int = CHUNK, smoothed: bool = False) -> DataFrame:
     """Scores of all texts under a bigram model of those that are not held out.
 
     Columns: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score`` (add-one unigrams) and ``score``, both log10 probabilities of the
     text's words and its end. Words are cut at ASCII white space, A-Z in lower case,
-    and known by 64-bit hashes.
+    and known by 64-bit hashes. ``smoothed`` takes the discounts from smoothed counts
+    of counts (``smooth_discounts``), so that copies among the texts do not rule
+    Good-Turing out; without it they are taken from the plain ones (``discounts``).
 
     Null and empty texts are an end alone. Rows are scored one by one: repeated rows
     and null ids stay. With nothing to train on every token is the unknown one, with
@@ -473,7 +529,7 @@ def katz_scores(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     sums = answers.where("stats IS NOT NULL").agg(
         *[F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(size)]
     ).first()
-    model = Model([s or 0 for s in sums])
+    model = Model([s or 0 for s in sums], _spreads(answers) if smoothed else None)
     counts = answers.select(
         "range", "chunk", "word_c", "many", "pair_r", "own", F.lit(None).cast("binary").alias("weights")
     )
@@ -494,4 +550,4 @@ def katz_scores(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 
 def op3_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz_scores(table(spark, sf_dir, "documents"))
+    return katz_scores(table(spark, sf_dir, "documents"), smoothed=True)

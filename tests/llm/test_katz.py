@@ -117,3 +117,51 @@ def test_arrays_round_trip():
     assert (katz.unpack_keys(katz.pack_keys(keys)) == keys).all()
     for a in (np.array([], np.int32), np.array([True, False]), np.array([1.5, -2.0])):
         assert (katz.unpack(katz.pack(a), a.dtype) == a).all()
+
+
+def line_fit(counts):
+    """Gale's fit and Katz's discounts on it, in plain steps."""
+    n = Counter(counts.values())
+    rs = sorted(n)
+    xs, ys = [], []
+    for i, r in enumerate(rs):
+        below = rs[i - 1] if i else 0
+        above = rs[i + 1] if i + 1 < len(rs) else 2 * r - below
+        xs.append(math.log(r))
+        ys.append(math.log(n[r] / (0.5 * (above - below))))
+    mx, my = sum(xs) / len(xs), sum(ys) / len(ys)
+    b = sum((x - mx) * (y - my) for x, y in zip(xs, ys)) / sum((x - mx) ** 2 for x in xs)
+    k = katz.K
+    a = (k + 1) * (k + 1) ** b
+    return {r: ((r + 1) * ((r + 1) / r) ** b / r - a) / (1 - a) for r in range(1, k + 1)}
+
+
+class Smoothed(Plain):
+    discounts = staticmethod(line_fit)
+
+
+def test_registered_query_is_good_turing_despite_copies(spark):
+    rows = [(r["doc_id"], tokens(r["text"])) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    train = [w for i, w in rows if not is_held(i)]
+    model = Smoothed(train)
+    for d in (model.wd, model.pd):
+        assert all(0 < x < 1 for x in d.values())
+        # No discount by a fixed amount: 1 - d(r) would fall as 1 / r.
+        assert not math.isclose(1 - d[1], 2 * (1 - d[2]), rel_tol=0.05)
+    assert sum(map(model.unigram, model.c)) + model.unknown == pytest.approx(1)
+    for u in ["<s>", *list(model.c)[:5]]:
+        if u != "</s>":
+            assert sum(model.p(u, v) for v in model.c) + model.p(u, "never seen") == pytest.approx(1)
+    found = {r["doc_id"]: r["score"] for r in katz.op3_katz_scoring(spark, SF).collect()}
+    assert found == {i: pytest.approx(model.score(w), abs=1e-6) for i, w in rows}
+
+
+def test_smoothed_discounts_with_and_without_a_line():
+    lifted = {1: 1000, 2: 250, 3: 110, 4: 60, 5: 400, 6: 25, 7: 20, 9: 12}  # groups of five copies
+    raw = katz.discounts([0, *[lifted[r] for r in range(1, 7)]])
+    assert np.allclose(raw[1:], 1 - 1000 / 1500 / np.arange(1, 6))  # the plain ones give up
+    smooth = katz.smooth_discounts(lifted)[1:]
+    assert (smooth > 0).all() and (smooth < 1).all() and (np.diff(smooth) > 0).all()
+    for few in ({}, {3: 5}, {1: 5, 2: 50, 3: 500}):
+        expected = katz.discounts([few.get(r, 0) for r in range(katz.K + 2)])
+        assert (katz.smooth_discounts(few) == expected).all()
