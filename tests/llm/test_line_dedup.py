@@ -91,3 +91,53 @@ def test_edges(spark):
     twice = documents(spark, [(1, first, "en", "a")] * 2)
     assert {r["text"] for r in dedup_lines(twice).collect()} == {first}
     assert dedup_lines(no_documents(spark)).count() == 0
+
+
+def plain_runs(rows):
+    """Lines of each text in runs of two or more, blanks aside, that stand elsewhere before."""
+    first, gone = {}, {}
+    for i, text in sorted(rows):
+        solid = [(n, x) for n, x in enumerate(text.split("\n")) if x.strip()]
+        gone[i] = set()
+        for (a, x), (b, y) in zip(solid, solid[1:]):
+            if first.setdefault((x, y), (i, a)) != (i, a):
+                gone[i] |= set(range(a, b + 1))
+    return gone
+
+
+def test_short_passages_go_whole_and_long_ones_with_their_edges(spark):
+    pick, rows = random.Random(4), []
+    passages = [lines(500 + n, n % 6 + 2) for n in range(24)] + [lines(600, 40)]
+    for i in range(75):
+        shared = list(passages[i % 25])
+        if i % 2:  # a blank line inside changes nothing
+            shared.insert(1, "")
+        text = lines(1000 + i, pick.randrange(1, 6)) + shared + lines(2000 + i, pick.randrange(1, 6))
+        rows.append((i, "\n".join(text), "en", "a"))
+    rows.append((80, rows[0][1].split("\n")[0] + "\nits first line alone is repeated", "en", "a"))
+    expected = plain_runs([r[:2] for r in rows])
+    for r in dedup_lines(documents(spark, rows), grow=True).collect():
+        gone = {n for p in r["cut"]["removed"] for n in range(p["first"], p["last"] + 1)}
+        own = rows[r["doc_id"] if r["doc_id"] < 75 else 75][1].split("\n")
+        kept = [x for n, x in enumerate(own) if n not in gone]
+        assert r["text"] == "\n".join(kept) and r["cut"]["n_removed"] == len(gone)
+        # Chunks may end in blank lines; else it is the runs exactly.
+        assert {n for n in gone if own[n]} == {n for n in expected[r["doc_id"]] if own[n]}
+        if 25 <= r["doc_id"] < 75:
+            assert not set(passages[r["doc_id"] % 25]) & set(kept)
+        else:
+            assert not gone
+
+
+def test_registered_query_leaves_no_repeated_run(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    expected = plain_runs([(i, t) for i, t in texts.items() if t])
+    found = {r["doc_id"]: r for r in op5_line_dedup(spark, sf).collect()}
+    for i, runs in expected.items():
+        gone = {n for p in found[i]["removed"] for n in range(p["first"], p["last"] + 1)}
+        assert runs <= gone
+    assert any(expected.values())
+    # The first place of every line stays.
+    kept = {x for r in found.values() for x in (r["text"] or "").split("\n")}
+    assert {x for t in texts.values() if t for x in t.split("\n") if x.strip()} <= kept
