@@ -285,8 +285,9 @@ def encode(
     variants: int = VARIANTS,
     id_column: str = "doc_id",
     text: str = "text",
+    kept: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``doc_id``, ``ids``, ``n_ids`` and ``lossless`` for each row of ``docs``.
+    """``doc_id``, ``ids``, ``n_ids`` and ``lossless`` for each row of ``docs``, then the columns ``kept``.
 
     The same seed, id and text give the same ids; another seed gives others. Each
     segment has ``variants`` segmentations per seed, chosen by document and place
@@ -313,16 +314,21 @@ def encode(
         nulls = pa.array([x is None for x in out])
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()), mask=nulls)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), lists, pa.array(sizes), pa.array(same, pa.bool_())],
-            [id_column, "ids", "n_ids", "lossless"],
+            [batch.column(0), lists, pa.array(sizes), pa.array(same, pa.bool_()), *batch.columns[3:]],
+            [id_column, "ids", "n_ids", "lossless", *kept],
         )
 
     kind = dict(docs.dtypes)[id_column]
     key = column(docs, id_column)
     stream = F.coalesce(key.cast("long") if kind in ("bigint", "int") else F.xxhash64(key), F.lit(0))
+    schema = T.StructType.fromDDL(f"{id_column} {kind}, ids array<int>, n_ids long, lossless boolean")
+    schema = T.StructType([*schema.fields, *[docs.schema[c] for c in kept]])
     return docs.select(
-        key.alias("id"), stream.cast("long").alias("stream"), column(docs, text).alias("text")
-    ).mapInArrow(batches(run), f"{id_column} {kind}, ids array<int>, n_ids long, lossless boolean")
+        key.alias("id"),
+        stream.cast("long").alias("stream"),
+        column(docs, text).alias("text"),
+        *[column(docs, c) for c in kept],
+    ).mapInArrow(batches(run), schema)
 
 
 def decode(encoded: DataFrame, model: str = MODEL, ids: str = "ids", out: str = "text") -> DataFrame:

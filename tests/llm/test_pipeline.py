@@ -71,3 +71,24 @@ def test_edges(spark, number):
         assert found.count() <= docs.count()
         if number < 4:
             assert found.columns == docs.columns
+
+
+def test_the_order_of_the_mixture_reaches_the_output(spark, steps):
+    from offhours.llm.mixing import BLOCK_BYTES, mixed
+
+    def order(frame):
+        return [r["doc_id"] for r in frame.sort("slot", "start").collect()]
+
+    # Stage 4's decision, on the rows that it read; stages 4 and 5 were written and read again.
+    expected = order(mixed(steps[3]).select("doc_id", "mix.*"))
+    assert order(steps[5].repartition(5)) == expected and len(expected) == steps[3].count()
+    assert [r["doc_id"] for r in steps[3].sort("doc_id").collect()] != expected
+    # Each source's documents follow one another without a gap, a block of one source a slot.
+    source = {i: r["source"] for i, r in by_id(steps[4]).items()}
+    size = {i: max(1, len((r["text"] or "").encode())) for i, r in by_id(steps[4]).items()}
+    at, owner = {}, {}
+    for r in steps[5].sort("slot", "start").collect():
+        s = source[r["doc_id"]]
+        assert r["start"] == at.get(s, 0)
+        assert owner.setdefault(r["slot"], (s, r["start"] // BLOCK_BYTES)) == (s, r["start"] // BLOCK_BYTES)
+        at[s] = r["start"] + size[r["doc_id"]]
