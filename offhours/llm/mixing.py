@@ -7,16 +7,21 @@ earliest deadline first. As the weights add up to 1, every deadline is met
 (Baruah et al., 1996), and at any time each source has got its share of the
 slots to within less than one block.
 
-Weights are whole shares of a period, so the windows and with them the schedule
-repeat: only one period is scheduled, in one small table, and the slot of every
-block follows from its number. Slots of a source that has run out stay empty;
-the others go on in their weights. Every document is placed exactly once.
+Windows follow from the exact weights, as fractions, so the bound holds over a
+schedule of any length. There is a row per block, some thousands of times fewer
+than bytes; each range of documents takes those that it covers. Slots of a source
+that has run out may stay empty; the others go on in their weights. Every document
+is placed exactly once. With a ``period``, weights are rounded to whole shares of
+it instead, and one period's schedule repeats.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from array import array
 from collections.abc import Mapping
+from fractions import Fraction
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,7 +30,10 @@ from pyspark.sql import functions as F
 from offhours.llm.shared import column, table
 
 BLOCK_BYTES = 1 << 18
-PERIOD = 1000
+# Weights below 1 in this many count as that, so that places fit into 64 bits.
+LEAST_SHARE = 1 << 40
+# Of 1 what sources without a weight get together, where named ones leave nothing.
+LEFT = 1 / 1000
 POWER = 0.5
 SEED = 1
 _BUCKET_BITS = 12
@@ -58,36 +66,95 @@ def schedule(units: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
     return out
 
 
+def whole_shares(weights: Mapping[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the proportion of the weights, but for those below 1 in LEAST_SHARE."""
+    exact = {name: Fraction(w) for name, w in weights.items()}
+    least = sum(exact.values()) / LEAST_SHARE
+    exact = {name: max(w, least) for name, w in exact.items()}
+    scale = math.lcm(*[w.denominator for w in exact.values()])
+    return {name: int(w * scale) for name, w in exact.items()}
+
+
+def whole_schedule(weights: Mapping[str, float], blocks: Mapping[str, int]) -> tuple[list[str], list[array]]:
+    """Names of the sources, and of every block: source, number, release, deadline, slot.
+
+    Block k of a source with weight w has the window floor(k / w) to ceil((k + 1) / w),
+    ``blocks`` says how many each source has. Only its next block waits, as it is due
+    before those behind it.
+    """
+    units = whole_shares(weights)
+    total, names = sum(units.values()), sorted(units)
+    q = [units[n] for n in names]
+    out = [array("q") for _ in range(5)]
+    coming = [(0, i, 0) for i, n in enumerate(names) if blocks[n]]
+    ready, slot = [], 0
+    while coming or ready:
+        if not ready:
+            slot = max(slot, coming[0][0])
+        while coming and coming[0][0] <= slot:
+            release, i, k = heapq.heappop(coming)
+            heapq.heappush(ready, (-(-(k + 1) * total // q[i]), i, k, release))
+        deadline, i, k, release = heapq.heappop(ready)
+        assert slot < deadline, "an earliest-deadline-first schedule meets all deadlines"
+        for column_, value in zip(out, (i, k, release, deadline, slot)):
+            column_.append(value)
+        if k + 1 < blocks[names[i]]:
+            heapq.heappush(coming, ((k + 1) * total // q[i], i, k + 1))
+        slot += 1
+    return names, out
+
+
 def _source(docs: DataFrame) -> Column:
     """Name of the source as text, so that a null source is one of its own."""
     return F.concat(F.lit("="), column(docs, "source").cast("string"))
 
 
-def period_table(sizes: DataFrame, weights: Mapping[str, float] | None, period: int, power: float) -> DataFrame:
-    """The schedule of one period for the sources of ``sizes`` (``source``, ``bytes``).
+def _targets(frame: pa.Table, weights: Mapping[str, float] | None, power: float, least: float) -> dict[str, float]:
+    """The weight of each source of ``frame`` (``source``, ``bytes``), not yet in proportion to all."""
+    natural = {
+        name: float(size or 1) ** power
+        for name, size in zip(frame["source"].to_pylist(), frame["bytes"].to_pylist())
+    }
+    if weights is not None:
+        named = {n: weights[n[1:]] for n in natural if n[:1] == "=" and n[1:] in weights}
+        named = {n: w for n, w in named.items() if w > 0}
+        rest = {n: natural[n] for n in natural if n not in named}
+        # The unnamed share what the named leave; nobody's documents are dropped.
+        left = max(1.0 - sum(named.values()), least) if rest else 0.0
+        total = sum(rest.values())
+        natural = named | {n: left * w / total for n, w in rest.items()}
+    return natural
+
 
-    It has about ``period`` rows, or one per source if that is more. Sources that
-    ``weights`` does not name, or all when it is None, take the weight
+def block_table(sizes: DataFrame, weights: Mapping[str, float] | None, block_bytes: int, power: float) -> DataFrame:
+    """The schedule of all blocks of the sources of ``sizes`` (``source``, ``bytes``), a row each.
+
+    Sources that ``weights`` does not name, or all when it is None, take the weight
     bytes ** power; named ones are put in proportion to all of these.
     """
+
+    def plan(frame: pa.Table) -> pa.Table:
+        blocks = {n: -(-b // block_bytes) for n, b in zip(frame["source"].to_pylist(), frame["bytes"].to_pylist())}
+        names, (of, *places) = whole_schedule(_targets(frame, weights, power, LEFT), blocks)
+        source = pa.array(names, pa.string()).take(pa.array(of, pa.int64()))
+        return pa.table([source, *[pa.array(p, pa.int64()) for p in places]], ["source", "number", "release", "deadline", "slot"])
+
+    schema = "source string, number long, release long, deadline long, slot long"
+    return sizes.groupBy(F.lit(0).alias("one")).applyInArrow(plan, schema)
+
+
+def period_table(sizes: DataFrame, weights: Mapping[str, float] | None, period: int, power: float) -> DataFrame:
+    """The schedule of one period, with rounded weights, for the sources of ``sizes`` (``source``, ``bytes``).
+
+    It has about ``period`` rows, or one per source if that is more. Weights are
+    those of ``block_table``.
+    """
     schema = (
         "source string, units long, period long, block long, release long, deadline long, period_slot long"
     )
 
     def plan(frame: pa.Table) -> pa.Table:
-        natural = {
-            name: float(size or 1) ** power
-            for name, size in zip(frame["source"].to_pylist(), frame["bytes"].to_pylist())
-        }
-        if weights is not None:
-            named = {n: weights[n[1:]] for n in natural if n[:1] == "=" and n[1:] in weights}
-            named = {n: w for n, w in named.items() if w > 0}
-            rest = {n: natural[n] for n in natural if n not in named}
-            # The unnamed share what the named leave; nobody's documents are dropped.
-            left = max(1.0 - sum(named.values()), 1.0 / period) if rest else 0.0
-            total = sum(rest.values())
-            natural = named | {n: left * w / total for n, w in rest.items()}
-        units = shares(natural, period)
+        units = shares(_targets(frame, weights, power, 1.0 / period), period)
         rows = schedule(units)
         names, blocks, release, deadline, slots = zip(*rows)
         return pa.table(
@@ -109,7 +176,7 @@ def mixed(
     docs: DataFrame,
     weights: Mapping[str, float] | None = None,
     block_bytes: int = BLOCK_BYTES,
-    period: int = PERIOD,
+    period: int | None = None,
     power: float = POWER,
     seed: int = SEED,
 ) -> DataFrame:
@@ -120,7 +187,9 @@ def mixed(
     start gives the mixture. ``mix`` replaces a column of that name.
 
     Null sources are one source; null and empty texts count as one byte, so they
-    have a place too. A document belongs to the block in which it starts.
+    have a place too. A document belongs to the block in which it starts. With no
+    ``period`` each source is less than a block off its given weight, until it runs
+    out; with one, off its rounded share of that.
     Repeated rows are all placed, next to one another. An empty table gives an
     empty result.
 
@@ -145,7 +214,6 @@ def mixed(
         "source", "bucket", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("offset")
     )
     sizes = ranges.groupBy("source").agg(F.sum("bytes").alias("bytes"))
-    periods = period_table(sizes, weights, period, power)
     inside = (
         Window.partitionBy("source", "bucket")
         .orderBy("key", F.col("doc.doc_id"), "tie")
@@ -153,6 +221,25 @@ def mixed(
     )
     placed = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     # The rows lie by range already, so only the small side moves.
+    if period is None:
+        covered = ranges.join(offsets, ["source", "bucket"]).select(
+            "source", "bucket", "offset",
+            F.explode(F.expr(f"sequence(offset div {int(block_bytes)}, (offset + bytes - 1) div {int(block_bytes)})")).alias("number"),
+        )
+        places = F.struct("number", "slot", "release", "deadline")
+        windows = (
+            covered.join(block_table(sizes, weights, int(block_bytes), power), ["source", "number"])
+            .groupBy("source", "bucket", "offset")
+            .agg(F.array_sort(F.collect_list(places)).alias("places"))
+        )
+        start = F.col("offset") + F.col("inside")
+        # A range's blocks follow one another, so a number is also a place among them.
+        mine = F.expr(f"places[cast((offset + inside) div {int(block_bytes)} - places[0].number as int)]")
+        return placed.join(windows, ["source", "bucket"]).select("doc", start.alias("start"), mine.alias("at")).select(
+            "doc.*",
+            F.struct("at.slot", "start", F.col("at.number").alias("block"), "at.release", "at.deadline").alias("mix"),
+        )
+    periods = period_table(sizes, weights, period, power)
     numbered = placed.join(offsets, ["source", "bucket"]).select(
         "doc", "source", (F.col("offset") + F.col("inside")).alias("start")
     )

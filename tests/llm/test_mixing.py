@@ -4,7 +4,7 @@ from fractions import Fraction
 
 import pytest
 
-from offhours.llm.mixing import interleaved, mixed, op1_mix_sources, schedule, shares
+from offhours.llm.mixing import interleaved, mixed, op1_mix_sources, schedule, shares, whole_schedule
 from tests.llm.edges import documents, no_documents
 
 SF = "/root/testdata/sf0.001"
@@ -86,3 +86,48 @@ def test_edges(spark):
     named = mixed(docs, {"a": 0.9, "nobody": 0.1}, block_bytes=16)
     assert named.count() == docs.count()
     assert shares({"a": 1e-9, "b": 1.0}, 10) == {"a": 1, "b": 10}
+
+
+THIRD = {f"s{i}": 1 / 7500 for i in range(5000)} | {"s0": 1 / 3}
+
+
+@pytest.mark.parametrize("weights, blocks", [
+    ({"a": 2, "b": 1}, {"a": 8000, "b": 4000}),
+    ({"a": 0.1, "b": 0.2, "c": 0.7}, {"a": 1000, "b": 2000, "c": 7000}),
+    ({str(i): (1 + i) ** 0.5 for i in range(20)}, {str(i): 400 for i in range(20)}),
+    (THIRD, {n: 2000 if n == "s0" else 1 for n in THIRD}),
+    ({"a": 1, "b": 1e-300}, {"a": 50, "b": 1}),
+])
+def test_no_source_is_a_block_off_its_given_weight(weights, blocks):
+    total = sum(Fraction(w) for w in weights.values())
+    names, rows = whole_schedule(weights, blocks)
+    served, last = defaultdict(list), -1
+    for i, k, release, deadline, slot in zip(*rows):
+        assert release <= slot < deadline and slot > last and k == len(served[names[i]])
+        served[names[i]].append(slot)
+        last = slot
+    assert {n: len(s) for n, s in served.items()} == blocks
+    for n, slots in served.items():
+        w = Fraction(weights[n]) / total
+        for k, slot in enumerate(slots):  # the share is furthest off just before and just behind a block
+            assert abs(k - w * slot) < 1 + Fraction(1, 10**6) and abs(k + 1 - w * (slot + 1)) < 1 + Fraction(1, 10**6)
+
+
+def test_given_weights_hold_over_thousands_of_slots(spark):
+    rows = [(i, "x" * 10, "a" if i % 3 else "b") for i in range(15000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    placed = mixed(docs, {"a": 2.0, "b": 1.0}, block_bytes=10).collect()
+    served, off = Counter(), 0
+    for at, r in enumerate(sorted(placed, key=lambda r: r["mix"]["slot"]), 1):
+        assert r["mix"]["slot"] == at - 1
+        served[r["source"]] += 1
+        off = max(off, abs(served["a"] - Fraction(2 * at, 3)))
+    assert at == 15000 and off < 1
+
+
+def test_documents_longer_than_blocks_and_ranges_of_many(spark):
+    rows = [(i, "y" * (1 + i * 37 % 90), "ab"[i % 2]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixed(docs, block_bytes=16).collect()
+    assert len(found) == 400 and all(r["mix"]["block"] == r["mix"]["start"] // 16 for r in found)
+    assert len({(r["mix"]["slot"], r["source"]) for r in found}) == len({r["mix"]["slot"] for r in found})
