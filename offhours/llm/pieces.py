@@ -5,6 +5,10 @@ characters that no piece of several characters holds. Inside a segment the best
 candidate merge is taken from an agenda, as in byte-pair encoding; a candidate
 is skipped when its keyed hash falls below the dropout rate. What remains are
 pieces that merges make, so every such segmentation decodes to the same text.
+
+Every occurrence of a segment draws for itself: its document and place enter the
+hash of each candidate. One that skips none of the merges of its plain encoding is
+encoded plainly, so that is looked up; the others run through their agendas.
 """
 
 from __future__ import annotations
@@ -25,7 +29,9 @@ from offhours.llm.text import mixed
 MODEL = "piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 20
-VARIANTS = 4
+VARIANTS = None
+# Occurrences whose merges are drawn together.
+_DRAWN = 1 << 17
 CACHE = 1 << 19
 _MARK = "▁"
 _ALL = (1 << 64) - 1
@@ -107,14 +113,19 @@ class Pieces:
         hit = self._keys[at] == key
         return np.where(hit, self._rank[at], _NONE), self._made[at]
 
-    def encode_segments(self, segments: list[str], keys: np.ndarray, rate: int) -> list[bytes]:
+    def encode_segments(
+        self, segments: list[str], keys: np.ndarray, rate: int, merged: list[bytes] | None = None
+    ) -> list[bytes]:
         """Ids (little-endian int32) of segments, all taken through their agendas together.
 
         Each step takes every segment's best candidate off its agenda: the piece with
         the best score, the leftmost of equals. A candidate whose keyed hash, of the
         segment's key and the candidate's place, is below ``rate`` (in 1 / 2**24) is
-        skipped for good; the others are merged, which makes new candidates.
+        skipped for good; the others are merged, which makes new candidates. ``merged``
+        is set to the places (little-endian uint64) of each segment's merges.
         """
+        if merged is not None:
+            merged[:] = [b""] * len(segments)
         out: list[bytes] = [b""] * len(segments)
         texts = [s.replace(" ", _MARK) for s in segments]
         sizes = np.array([len(t) for t in texts])
@@ -126,8 +137,15 @@ class Pieces:
             stop = at + int(np.searchsorted(sizes[order[at:]], longest, side="right"))
             stop = min(stop, at + max(1, _CELLS // longest))
             some = order[at:stop]
-            for i, ids in zip(some, self._block([texts[i] for i in some], keys[some], rate)):
+            done = []
+            for i, ids in zip(some, self._block([texts[i] for i in some], keys[some], rate, done)):
                 out[i] = ids
+            if merged is not None and done:
+                rows, places = map(np.concatenate, zip(*done))
+                whole = places[np.argsort(rows, kind="stable")].astype("<u8").tobytes()
+                ends = 8 * np.cumsum(np.bincount(rows, minlength=len(some)))
+                for i, a, b in zip(some, [0, *ends.tolist()], ends.tolist()):
+                    merged[i] = whole[a:b]
             at = stop
         for i, s in enumerate(segments):
             if len(s) == 1 and s == _MARK:
@@ -137,7 +155,7 @@ class Pieces:
     def _bytes_of(self, text: str) -> bytes:
         return np.array([self.byte_ids[b] for b in text.encode("utf-8", "surrogatepass")], "<i4").tobytes()
 
-    def _block(self, texts: list[str], keys: np.ndarray, rate: int) -> list[bytes]:
+    def _block(self, texts: list[str], keys: np.ndarray, rate: int, done: list) -> list[bytes]:
         rows, wide = len(texts), max(map(len, texts))
         symbol = np.full((rows, wide + 1), -1, np.int64)
         size = np.array([len(t) for t in texts])
@@ -158,15 +176,16 @@ class Pieces:
             alive, best = alive[some], best[some]
             if not len(alive):
                 break
+            a, b = begin[alive, best], begin[alive, best + 1]
+            c = begin[alive, best + 2]
+            place = (a << 40 | b << 20 | c).astype(np.uint64)
             if rate:
-                a, b = begin[alive, best], begin[alive, best + 1]
-                c = begin[alive, best + 2]
-                place = (a << 40 | b << 20 | c).astype(np.uint64)
                 skip = mixed(keys[alive] ^ mixed(place)) >> np.uint64(40) < np.uint64(rate)
                 rank[alive[skip], best[skip]] = _NONE
                 row, j = alive[~skip], best[~skip]
             else:
                 row, j = alive, best
+                done.append((row, place))
             if not len(row):
                 continue
             # The two symbols become one; what stands behind them moves up.
@@ -222,17 +241,26 @@ def pieces(model: str) -> Pieces:
 
 
 class Encoder:
-    """Encodes texts; segments met before are looked up, in a cache of bounded size."""
+    """Encodes texts; segments met before are looked up, in a cache of bounded size.
+
+    With ``variants`` None each occurrence is drawn by document and place, and the
+    cache holds plain encodings; else each segment has so many segmentations.
+    """
 
-    def __init__(self, model: str, rate: float, seed: int, variants: int, cache: int = CACHE):
+    def __init__(self, model: str, rate: float, seed: int, variants: int | None, cache: int = CACHE):
         self.vocabulary = pieces(model)
         self.rate, self.seed = round(rate * (1 << 24)), seed & _ALL
-        self.variants = variants if self.rate else 1
-        self.most = max(1, cache // self.variants)
+        self.drawn = variants is None and self.rate > 0
+        self.variants = variants if self.rate and variants else 1
+        # Beside plain encodings stand the places of their merges.
+        self.most = max(1, cache // (2 if self.drawn else self.variants))
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.plain: dict[str, tuple[bytes, bytes]] = {}
 
     def encode(self, texts: list[str], streams: list[int]) -> list[bytes]:
         """Ids of each text as little-endian int32. ``streams`` tell documents apart."""
+        if self.drawn:
+            return self._draw(texts, streams)
         find, known = self.vocabulary.segment.findall, self.known
         if any(len(k) >= self.most for k in known):
             for k in known:
@@ -259,6 +287,56 @@ class Encoder:
             out.append(b"".join(found))
         return out
 
+    def _draw(self, texts: list[str], streams: list[int]) -> list[bytes]:
+        find = self.vocabulary.segment.findall
+        out, some, at, size = [], [], [], 0
+        for t, stream in zip(texts, streams):
+            some.append(find(" " + t) if t else [])
+            at.append(stream)
+            size += len(some[-1])
+            if size >= _DRAWN:
+                out += self._drawn(some, at)
+                some, at, size = [], [], 0
+        return out + self._drawn(some, at)
+
+    def _drawn(self, texts: list[list[str]], streams: list[int]) -> list[bytes]:
+        """Ids of texts that are cut into segments, each occurrence with skips of its own."""
+        if len(self.plain) >= self.most:
+            self.plain.clear()
+        codes: dict[str, int] = {}
+        code = np.array([codes.setdefault(s, len(codes)) for t in texts for s in t], np.int64)
+        if not len(code):
+            return [b""] * len(texts)
+        segments = list(codes)
+        new = [s for s in segments if s not in self.plain]
+        if new:
+            merged: list[bytes] = []
+            ids = self.vocabulary.encode_segments(new, np.zeros(len(new), np.uint64), 0, merged)
+            self.plain.update(zip(new, zip(ids, merged)))
+        ids, merged = zip(*map(self.plain.__getitem__, segments))
+        places = mixed(np.frombuffer(b"".join(merged), "<u8"))
+        number = np.array([len(m) // 8 for m in merged])
+        first = np.cumsum(number) - number
+        keys = np.concatenate([self._places(len(t), s) for t, s in zip(texts, streams)])
+        # Every merge of every occurrence's plain encoding.
+        times = number[code]
+        of = np.repeat(np.arange(len(code)), times)
+        which = np.arange(len(of)) - np.repeat(np.cumsum(times) - times - first[code], times)
+        skip = mixed(keys[of] ^ places[which]) >> np.uint64(40) < np.uint64(self.rate)
+        varied = np.unique(of[skip])
+        found = [ids[c] for c in code.tolist()]
+        other = [segments[c] for c in code[varied].tolist()]
+        for i, x in zip(varied.tolist(), self.vocabulary.encode_segments(other, keys[varied], self.rate)):
+            found[i] = x
+        ends = np.cumsum([len(t) for t in texts]).tolist()
+        return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends)]
+
+    def _places(self, n: int, stream: int) -> np.ndarray:
+        """Keys of a document's occurrences, by seed, document and place."""
+        seed = mixed(np.array([self.seed], np.uint64))
+        first = mixed(np.array([stream & _ALL], np.uint64) ^ seed)
+        return mixed(np.arange(n, dtype=np.uint64) + first)
+
     def _variants(self, n: int, stream: int) -> list[int]:
         """Which of its segment's variants each occurrence takes depends on its place."""
         if self.variants == 1:
@@ -273,7 +351,7 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(model: str, rate: float, seed: int, variants: int) -> Encoder:
+def encoder(model: str, rate: float, seed: int, variants: int | None) -> Encoder:
     return Encoder(model, rate, seed, variants)
 
 
@@ -282,7 +360,7 @@ def encode(
     model: str = MODEL,
     dropout: float = DROPOUT,
     seed: int = SEED,
-    variants: int = VARIANTS,
+    variants: int | None = VARIANTS,
     id_column: str = "doc_id",
     text: str = "text",
     kept: tuple[str, ...] = (),
@@ -290,8 +368,8 @@ def encode(
     """``doc_id``, ``ids``, ``n_ids`` and ``lossless`` for each row of ``docs``, then the columns ``kept``.
 
     The same seed, id and text give the same ids; another seed gives others. Each
-    segment has ``variants`` segmentations per seed, chosen by document and place
-    in it; ``dropout`` 0 gives the plain encoding of the library. ``lossless``
+    occurrence of a segment is varied for itself, by document and place; with
+    ``variants`` a segment has only so many segmentations per seed. ``dropout`` 0 gives the plain encoding of the library. ``lossless``
     says that decoding the ids gave the text back. A null text has null ids and
     no ``lossless``; an empty one has none and is lossless. Rows are treated one
     by one: repeated rows and null ids (as id 0) stay, and other columns are not

@@ -98,3 +98,32 @@ def test_edges(spark):
     assert all(r["lossless"] for r in coded.where("ids IS NOT NULL").collect())
     assert coded.where("ids IS NULL AND lossless IS NULL AND n_ids = 0").count() == 2
     assert encode(no_documents(spark)).count() == 0
+
+
+def test_every_occurrence_is_an_agenda_of_its_own(library):
+    coder = Encoder(MODEL, 0.1, 7, pieces.VARIANTS)
+    book = coder.vocabulary
+    text = " ".join(["the internationalisation of  straße 日本 words"] * 60)
+    segments = book.segment.findall(" " + text)
+    for stream in (3, -9):
+        keys = coder._places(len(segments), stream).tolist()
+        expected = [i for s, k in zip(segments, keys) for i in one_by_one(book, library, s, k, coder.rate)]
+        assert as_list(coder.encode([text], [stream])[0]) == expected
+
+
+def test_a_word_has_more_than_a_few_segmentations_and_the_rate_holds():
+    book = pieces.pieces(MODEL)
+    coder = Encoder(MODEL, 0.1, 5, pieces.VARIANTS)
+    for word in ("of", "internationalisation"):
+        found = coder.encode([word] * 4000, list(range(4000)))
+        assert all(book.decode(as_list(x)) == word for x in set(found))
+        if word == "of":
+            plain = Encoder(MODEL, 0.0, 5, pieces.VARIANTS).encode([word], [0])[0]
+            # Both merges, or the first one skipped and the piece made from the other side.
+            assert abs(sum(x == plain for x in found) / 4000 - (0.81 + 0.1 * 0.81)) < 0.02
+    assert len(set(found)) > 20
+    text = "of internationalisation " * 50
+    for cache in (1, 1 << 19):  # whatever the cache holds, and alone or beside others
+        a = Encoder(MODEL, 0.1, 5, pieces.VARIANTS, cache=cache)
+        assert [a.encode([text], [s])[0] for s in (1, 2)] == coder.encode([text, text], [1, 2])
+    assert Encoder(MODEL, 0.1, 6, pieces.VARIANTS).encode([text], [1]) != coder.encode([text], [2])
