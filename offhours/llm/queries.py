@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from offhours.llm.curve_search import op2_curve_search
 from offhours.llm.exact_topk import OP9_SQL, op9_exact_topk
+from offhours.llm.filter_audit import OP13_SQL, op13_filter_audit
 from offhours.llm.katz import op3_katz_scoring
 from offhours.llm.line_dedup import op5_line_dedup
 from offhours.llm.mixing import op1_mix_sources
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_exact_topk": op9_exact_topk,
     "op10_sentencepiece": op10_sentencepiece,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 SQL: dict[str, str] = {
     "op4_ngram_jaccard": OP4_SQL,
     "op9_exact_topk": OP9_SQL,
+    "op13_filter_audit": OP13_SQL,
 }

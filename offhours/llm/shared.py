@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,25 +55,47 @@ def column(df: DataFrame, name: str) -> Column:
     return df["`" + name.replace("`", "``") + "`"]
 
 
+# Text that a function gets at once, if a row has not more by itself.
+BATCH_BYTES = 2 << 20
+
+
 def batches(
-    fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int = 2000
+    fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], size: int = BATCH_BYTES, rows: int = 2000
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A function on batches as ``mapInArrow`` wants it.
 
-    Spark's batches hold up to 64 MB of text; ``fn`` gets ``rows`` rows at a time,
-    which bounds the memory of what it derives from them.
+    Spark's batches hold up to 64 MB of text; ``fn`` gets some ``size`` bytes of it at a
+    time, at most ``rows`` rows and at least one, which bounds the memory of what it
+    derives from them.
     """
 
     def run(it):
         for batch in it:
-            for at in range(0, batch.num_rows, rows):
-                out = fn(batch.slice(at, rows))
+            for start, stop in _cuts(batch, size, rows):
+                out = fn(batch.slice(start, stop - start))
                 if out is not None and out.num_rows:
                     yield out
 
     return run
 
 
+def _cuts(batch: pa.RecordBatch, size: int, rows: int) -> Iterator[tuple[int, int]]:
+    """First and one behind the last row of each piece of a batch."""
+    weights = np.zeros(batch.num_rows, np.int64)
+    for values in batch.columns:
+        if pa.types.is_string(values.type) or pa.types.is_binary(values.type):
+            weights += pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
+        elif pa.types.is_list(values.type):
+            weights += 8 * pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False)
+    total = np.concatenate([[0], np.cumsum(weights)])
+    at = 0
+    while at < batch.num_rows:
+        stop = int(np.searchsorted(total, total[at] + size, side="right")) - 1
+        stop = min(max(stop, at + 1), at + rows, batch.num_rows)
+        yield at, stop
+        at = stop
+
+
 # -- sieves: bounded bitmaps of keys -----------------------------------------------------
 
 SIEVE_BITS = 22

@@ -84,7 +84,7 @@ def piece_counts(docs: DataFrame, model: str = MODEL, text: str = "text") -> Dat
         )
 
     seen = docs.select(column(docs, text).alias("text")).mapInArrow(
-        batches(_frequencies, 10_000), "pre_token string, n long"
+        batches(_frequencies, rows=10_000), "pre_token string, n long"
     )
     return stored(
         seen.groupBy("pre_token")
