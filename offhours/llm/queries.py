@@ -12,6 +12,7 @@ from offhours.llm.pieces import op10_sentencepiece
 from offhours.llm.quality import op6_quality_classifier
 from offhours.llm.secret_scan import op8_secret_scan
 from offhours.llm.set_join import OP4_SQL, op4_ngram_jaccard
+from offhours.llm.substring_dedup import OP12_SQL, op12_substring_dedup
 from offhours.llm.token_counts import op7_token_counts
 
 QUERIES = {
@@ -25,11 +26,13 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_exact_topk": op9_exact_topk,
     "op10_sentencepiece": op10_sentencepiece,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_filter_audit": op13_filter_audit,
 }
 
 SQL: dict[str, str] = {
     "op4_ngram_jaccard": OP4_SQL,
     "op9_exact_topk": OP9_SQL,
+    "op12_substring_dedup": OP12_SQL,
     "op13_filter_audit": OP13_SQL,
 }

@@ -1,6 +1,7 @@
 import re
 from fractions import Fraction
 from itertools import permutations
+
 from pyspark.sql import functions as F
 
 from offhours.llm import filter_audit as fa
