@@ -14,6 +14,7 @@ from offhours.llm.secret_scan import op8_secret_scan
 from offhours.llm.set_join import OP4_SQL, op4_ngram_jaccard
 from offhours.llm.substring_dedup import OP12_SQL, op12_substring_dedup
 from offhours.llm.token_counts import op7_token_counts
+from offhours.llm.whitening import op11_embedding_whitening
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_exact_topk": op9_exact_topk,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_substring_dedup": op12_substring_dedup,
     "op13_filter_audit": op13_filter_audit,
 }
