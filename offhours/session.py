@@ -71,6 +71,12 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what it holds, wherever Spark's file systems have it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, which outlives executors."""
     checkpoint_root(df.sparkSession)
