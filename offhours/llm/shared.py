@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offhours.session import fresh_folder
+from offhours.session import delete_folder, fresh_folder
 
 # ASCII white space, as the contracts write it: [\x20\x09-\x0D].
 WORD = rb"[^\x20\x09-\x0D]+"
@@ -30,16 +30,33 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+# Has Spark delete a query's shuffle files when the query has run.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends here.
 
     The columns keep their names; executors can be lost at any later time
-    without this work being done again.
+    without this work being done again. Shuffle files of the write go at once: nothing
+    reads them again, and over many steps they would fill the disks.
     """
     spark = df.sparkSession
     path = fresh_folder(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table of `stored`, once all that reads it has been stored in turn."""
+    delete_folder(table.sparkSession, table.stored_at)
 
 
 def spare(df: DataFrame, name: str) -> str:

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offhours.llm.shared import batches, column, stored, table
+from offhours.llm.shared import batches, column, discard, stored, table
 from offhours.llm.text import mixed, paired
 
 WINDOW = 20
@@ -32,7 +32,9 @@ PERIOD = 13
 COVER = (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
 
-_CANDIDATES = "first array<struct<start:int,a:long,b:long>>, again array<int>"
+_CANDIDATES = "first array<int>, again array<int>"
+# Larger batches share more words.
+_BATCH = 4 << 20
 
 
 class Words:
@@ -167,38 +169,45 @@ def _candidates(batch: pa.RecordBatch) -> pa.RecordBatch:
     else:
         a = b = np.empty(0, np.uint64)
     first, _ = _doubled(w_row, paired(a, b))
-    windows = pa.StructArray.from_arrays(
-        [pa.array(place[first]), pa.array(a[first].view(np.int64)), pa.array(b[first].view(np.int64))],
-        ["start", "a", "b"],
-    )
     return pa.RecordBatch.from_arrays(
         [
             batch.column(0),
             batch.column(1),
-            _lists(windows, w_row[first], n),
+            _lists(pa.array(place[first]), w_row[first], n),
             _lists(pa.array(place[~first]), w_row[~first], n),
         ],
         ["id", "text", "first", "again"],
     )
 
 
+def _places(words: Words, starts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(text, place in all words) of lists of places in texts."""
+    row = np.repeat(np.arange(len(starts)), _lengths(starts))
+    return row, words.bounds[:-1][row] + starts.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _windows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+    """A row per document and candidate; columns id, text, first."""
+    words = Words(batch.column(1))
+    row, at = _places(words, batch.column(2))
+    if not len(at):
+        return None
+    a, b = spans(words.hashes, WINDOW)[at], spans(words.second(), WINDOW)[at]
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0).take(pa.array(row)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))],
+        ["id", "a", "b"],
+    )
+
+
 def _cleaned(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Texts without the words of windows that start earlier; columns id, text, first, again, kept."""
     n = batch.num_rows
     words = Words(batch.column(1))
     first, again = batch.column(2), batch.column(3)
-    inner = first.flatten()
-    row = np.repeat(np.arange(n), _lengths(first))
-    start = inner.field(0).to_numpy(zero_copy_only=False)
-    key = inner.field(1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    row, at = _places(words, first)
+    key = spans(words.hashes, WINDOW)[at] if len(at) else np.empty(0, np.uint64)
     own = pc.is_null(batch.column(0)).to_numpy(zero_copy_only=False)[row] | _member(key, row, batch.column(4))
-    late = np.repeat(np.arange(n), _lengths(again))
-    gone = np.concatenate(
-        [
-            words.bounds[:-1][row[~own]] + start[~own],
-            words.bounds[:-1][late] + again.flatten().to_numpy(zero_copy_only=False),
-        ]
-    ).astype(np.int64)
+    gone = np.concatenate([at[~own], _places(words, again)[1]])
     depth = np.zeros(len(words.hashes) + 1, np.int64)
     np.add.at(depth, gone, 1)
     np.add.at(depth, gone + WINDOW, -1)
@@ -233,41 +242,47 @@ def dedup_words(docs: DataFrame, digest: bool = False) -> DataFrame:
     rows = docs.select(column(docs, "doc_id").alias("id"), column(docs, "text").alias("text"))
     kind = dict(rows.dtypes)["id"]
     named = rows.where(F.col("id").isNotNull())
-    # An anchor of which one document knows, and once there, rules windows out.
-    alone = (
-        named.mapInArrow(batches(_anchor_rows), f"id {kind}, anchor long")
+    # An anchor that stands once in the corpus rules windows out.
+    alone = stored(
+        named.mapInArrow(batches(_anchor_rows, _BATCH), f"id {kind}, anchor long")
         .groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
         .where(F.col("n") == 1)
         .groupBy("id")
-        .agg(F.collect_list("anchor").alias("alone"))
+        .agg(F.collect_list("anchor").alias("alone")),
+        "anchors",
     )
-    nameless = rows.where(F.col("id").isNull())
     none = F.lit(None).cast("array<long>")
+    judging = batches(_candidates, _BATCH)
     judged = stored(
         named.join(alone, "id", "left")
         .select("id", "text", "alone")
-        .mapInArrow(batches(_candidates), f"id {kind}, text string, {_CANDIDATES}"),
+        .mapInArrow(judging, f"id {kind}, text string, {_CANDIDATES}"),
         "windows",
     )
-    own = (
-        nameless.select("id", "text", none.alias("alone"))
-        .mapInArrow(batches(_candidates), f"id {kind}, text string, {_CANDIDATES}")
-        .withColumn("mine", none)
-    )
-    mine = (
-        judged.select("id", F.explode("first").alias("w"))
-        .groupBy("w.a", "w.b")
+    discard(alone)
+    mine = stored(
+        judged.select("id", "text", "first")
+        .where(F.size("first") > 0)
+        .mapInArrow(batches(_windows, _BATCH), f"id {kind}, a long, b long")
+        .groupBy("a", "b")
         .agg(F.min("id").alias("id"))
         .groupBy("id")
-        .agg(F.collect_list("a").alias("mine"))
+        .agg(F.collect_list("a").alias("mine")),
+        "firsts",
+    )
+    own = (
+        rows.where(F.col("id").isNull())
+        .select("id", "text", none.alias("alone"))
+        .mapInArrow(judging, f"id {kind}, text string, {_CANDIDATES}")
+        .withColumn("mine", none)
     )
     # Texts without a candidate are not moved again.
     some = (F.size("first") > 0) | (F.size("again") > 0)
     clean = judged.where(~some).withColumn("mine", none)
     touched = judged.where(some).join(mine, "id", "left").select("id", "text", "first", "again", "mine")
     cut = clean.union(touched).union(own).mapInArrow(
-        batches(_cleaned), f"id {kind}, n_words long, n_removed long, kept string"
+        batches(_cleaned, _BATCH), f"id {kind}, n_words long, n_removed long, kept string"
     )
     if digest:
         kept = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
