@@ -27,13 +27,29 @@ from pyspark.sql import functions as F
 from offhours.functions.moments import bucket_number
 
 _DAY = "_day"
+_LOOSE = "_loose"
 DAY_SECONDS = 86_400
+# Groups over which rows without a place in the series are spread.
+LOOSE_GROUPS = 4096
 
 
 def _days(keys: Sequence[str]) -> Window:
     return Window.partitionBy(*keys).orderBy(_DAY) if keys else Window.orderBy(_DAY)
 
 
+def _in_days(df: DataFrame, ts: str, keys: Sequence[str], bucket_seconds: int) -> tuple[DataFrame, Window]:
+    """``df`` with the day of each row, and the window over each day in time order.
+
+    Rows without a timestamp have no neighbours, and all of them in one group would be one
+    task's work; they are dealt over many groups.
+    """
+    loose = F.pmod(F.monotonically_increasing_id(), F.lit(LOOSE_GROUPS))
+    df = df.withColumn(_DAY, bucket_number(ts, bucket_seconds)).withColumn(
+        _LOOSE, F.when(F.col(ts).isNull(), loose)
+    )
+    return df, Window.partitionBy(*keys, _DAY, _LOOSE).orderBy(ts)
+
+
 def _neighbour(
     per_bucket: DataFrame, value: Column, keys: Sequence[str], bucket_seconds: int, before: bool
 ) -> DataFrame:
@@ -75,18 +91,19 @@ def lag_in_time(
     """Add ``out``: ``value`` of the row before, null on the first row.
 
     The first row of a day takes the last value of the latest earlier day that
-    has rows.
+    has rows. Rows without a timestamp get null and are nobody's neighbours.
     """
-    df = df.withColumn(_DAY, bucket_number(ts, bucket_seconds))
-    last_of_day = df.groupBy(*keys, _DAY).agg(F.max(F.struct(ts, value)).alias("_last"))
+    df, inside = _in_days(df, ts, keys, bucket_seconds)
+    dated = df.where(F.col(_DAY).isNotNull())
+    last_of_day = dated.groupBy(*keys, _DAY).agg(F.max(F.struct(ts, value)).alias("_last"))
     carried = _neighbour(last_of_day, F.col(f"_last.{value}"), keys, bucket_seconds, before=True)
-    inside = Window.partitionBy(*keys, _DAY).orderBy(ts)
+    neighbour = F.when(F.col("_pos") == 1, F.col("_carried")).otherwise(F.col("_inside"))
     return (
         df.withColumn("_pos", F.row_number().over(inside))
         .withColumn("_inside", F.lag(value).over(inside))
         .join(carried, [*keys, _DAY], "left")
-        .withColumn(out, F.when(F.col("_pos") == 1, F.col("_carried")).otherwise(F.col("_inside")))
-        .drop(_DAY, "_pos", "_inside", "_carried")
+        .withColumn(out, F.when(F.col(ts).isNotNull(), neighbour))
+        .drop(_DAY, _LOOSE, "_pos", "_inside", "_carried")
     )
 
 
@@ -98,17 +115,20 @@ def lead_in_time(
     keys: Sequence[str] = (),
     bucket_seconds: int = DAY_SECONDS,
 ) -> DataFrame:
-    """Add struct ``out``: timestamp and ``values`` of the row after, null on the last."""
-    df = df.withColumn(_DAY, bucket_number(ts, bucket_seconds))
+    """Add struct ``out``: timestamp and ``values`` of the row after, null on the last.
+
+    Rows without a timestamp get null and are nobody's neighbours.
+    """
+    df, inside = _in_days(df, ts, keys, bucket_seconds)
     payload = F.struct(ts, *values)
-    first_of_day = df.groupBy(*keys, _DAY).agg(F.min(payload).alias("_first"))
+    dated = df.where(F.col(_DAY).isNotNull())
+    first_of_day = dated.groupBy(*keys, _DAY).agg(F.min(payload).alias("_first"))
     carried = _neighbour(first_of_day, F.col("_first"), keys, bucket_seconds, before=False)
-    inside = Window.partitionBy(*keys, _DAY).orderBy(ts)
     return (
         df.withColumn("_inside", F.lead(payload).over(inside))
         .join(carried, [*keys, _DAY], "left")
-        .withColumn(out, F.coalesce("_inside", "_carried"))
-        .drop(_DAY, "_inside", "_carried")
+        .withColumn(out, F.when(F.col(ts).isNotNull(), F.coalesce("_inside", "_carried")))
+        .drop(_DAY, _LOOSE, "_inside", "_carried")
     )
 
 
@@ -197,16 +217,15 @@ def with_position(
 
     Rows without a timestamp have no place in it: their position is null.
     """
-    df = df.withColumn(_DAY, bucket_number(ts, bucket_seconds))
+    df, inside = _in_days(df, ts, keys, bucket_seconds)
     placed = df.where(F.col(_DAY).isNotNull())
     per_day = placed.groupBy(*keys, _DAY).agg(F.count(F.lit(1)).alias("_n"))
     before = _rows_before(per_day, keys, bucket_seconds)
-    inside = Window.partitionBy(*keys, _DAY).orderBy(ts)
     return (
         df.withColumn("_inside", F.row_number().over(inside))
         .join(before, [*keys, _DAY], "left")
         .withColumn(out, F.when(F.col(ts).isNotNull(), F.col("_before") + F.col("_inside") - 1))
-        .drop(_DAY, "_inside", "_before")
+        .drop(_DAY, _LOOSE, "_inside", "_before")
     )
 
 
@@ -225,6 +244,9 @@ def rolling(
     ``preceding`` rows of a bucket are also sent to the next one, which is all
     the history its first rows need. With the default bucket length an eighth
     of the rows travels twice. Rows without a position get null in the new columns.
+
+    Any aggregate will do, but Spark works a sliding frame out anew for each row:
+    ``preceding + 1`` updates a row. `rolling_measures` needs two.
     """
     length = bucket_rows or 8 * max(preceding, 1)
     if length < preceding:
@@ -233,7 +255,7 @@ def rolling(
     needed_later = F.pmod(F.col(position), F.lit(length)) >= F.lit(length - preceding)
     known = F.col(position).isNotNull()
     # Rows without a position only have to be somewhere: not all in one bucket.
-    anywhere = F.array(-1 - F.pmod(F.monotonically_increasing_id(), F.lit(4096)))
+    anywhere = F.array(-1 - F.pmod(F.monotonically_increasing_id(), F.lit(LOOSE_GROUPS)))
     copies = (
         F.when(~known, anywhere)
         .when(needed_later, F.array(home, home + 1))
@@ -246,6 +268,86 @@ def rolling(
     return placed.where(~known | (F.col("_bucket") == home)).drop("_bucket")
 
 
+def rolling_measures(
+    df: DataFrame,
+    position: str,
+    preceding: int,
+    measures: dict[str, tuple[str, str]],
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """Add measures over the ``preceding`` positions before each row and its own, at constant work a row.
+
+    ``measures`` maps a new column to a kind (``min``, ``max``, ``count``, ``sum``, ``mean``
+    or ``std``, the sample deviation) and the column it is taken of; nulls in that are left out.
+    Positions are whole numbers, each taken once per ``keys``. Rows without one get null.
+
+    The series is cut into blocks as long as the window. A window is then the end of one
+    block and the beginning of the next, so what is needed are running measures from the end
+    of each block backwards and from its beginning forwards: two updates a row, however long
+    the window is. Sums and squares of the two halves are added, never subtracted, so a
+    large value leaves no rounding errors behind when it has left the window.
+    """
+    block = F.floor(F.col(position) / F.lit(preceding + 1)).cast("long")
+    known = F.col(position).isNotNull()
+    anywhere = -1 - F.pmod(F.monotonically_increasing_id(), F.lit(LOOSE_GROUPS))
+
+    def copy(to: Column, past: bool) -> Column:
+        return F.struct(to.alias("block"), F.lit(past).alias("past"))
+
+    copies = F.when(known, F.array(copy(block, False), copy(block + 1, True))).otherwise(
+        F.array(copy(anywhere, False))
+    )
+    placed = df.withColumn("_copy", F.explode(copies))
+    past = F.col("_copy.past")
+    group = [*keys, "_copy.block"]
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    forwards = Window.partitionBy(*group).orderBy(position).rowsBetween(*so_far)
+    # A row of the block before counts for the rows up to ``preceding`` places behind it.
+    reach = F.col(position) + F.when(past, F.lit(preceding)).otherwise(F.lit(0))
+    backwards = Window.partitionBy(*group).orderBy(reach.desc(), past.desc()).rowsBetween(*so_far)
+
+    def halves(aggregate, value: Column) -> tuple[Column, Column]:
+        return (
+            aggregate(F.when(past, value)).over(backwards),
+            aggregate(F.when(known & ~past, value)).over(forwards),
+        )
+
+    def measure(kind: str, name: str) -> Column:
+        value = F.col(name)
+        if kind == "min":
+            return F.least(*halves(F.min, value))
+        if kind == "max":
+            return F.greatest(*halves(F.max, value))
+        n_old, n_new = halves(F.count, value)
+        if kind == "count":
+            return n_old + n_new
+        if kind == "sum":
+            old, new = halves(F.sum, value)
+            return F.coalesce(old + new, old, new)
+        value = value.cast("double")
+        if kind == "mean":
+            old, new = halves(F.sum, value)
+            return F.try_divide(F.coalesce(old + new, old, new), n_old + n_new)
+        if kind == "std":
+            return _joined_deviation(n_old, n_new, *halves(F.avg, value), *halves(F.var_pop, value))
+        raise ValueError(f"unknown measure {kind!r}")
+
+    # All at once, so that Spark needs one sort for each direction.
+    found = {name: F.when(known, measure(kind, of)) for name, (kind, of) in measures.items()}
+    return placed.withColumns(found).where(~past).drop("_copy")
+
+
+def _joined_deviation(
+    n_a: Column, n_b: Column, mean_a: Column, mean_b: Column, var_a: Column, var_b: Column
+) -> Column:
+    """Sample deviation of two sets together, from number, mean and variance of each."""
+    n = n_a + n_b
+    apart = mean_b - mean_a
+    between = F.when((n_a > 0) & (n_b > 0), apart * apart * n_a * n_b / n).otherwise(F.lit(0.0))
+    inside = F.coalesce(var_a * n_a, F.lit(0.0)) + F.coalesce(var_b * n_b, F.lit(0.0))
+    return F.when(n > 1, F.sqrt((inside + between) / (n - 1)))
+
+
 def fill_between(
     df: DataFrame,
     ts: str,

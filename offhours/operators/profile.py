@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from offhours.functions.market import percent_change
 from offhours.operators.merge import keep_first
-from offhours.operators.ordered import DAY_SECONDS, lag_in_time, rolling, with_position
+from offhours.operators.ordered import DAY_SECONDS, lag_in_time, rolling_measures, with_position
 from offhours.operators.ranking import exact_quantiles
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -320,8 +320,7 @@ def rolling_mean(
 ) -> DataFrame:
     """Mean over the last ``rows`` rows, from the first row on."""
     placed = with_position(df, ts, "_position", bucket_seconds=bucket_seconds)
-    window = {out: lambda w: F.avg(column).over(w)}
-    return rolling(placed, "_position", rows - 1, window).drop("_position")
+    return rolling_measures(placed, "_position", rows - 1, {out: ("mean", column)}).drop("_position")
 
 
 def rolling_std(
@@ -335,11 +334,10 @@ def rolling_std(
 ) -> DataFrame:
     """Sample std over the last ``rows`` rows; null below ``at_least`` known values."""
     placed = with_position(df, ts, "_position", bucket_seconds=bucket_seconds)
-
-    def spread(w):
-        return F.when(F.count(column).over(w) >= at_least, F.stddev_samp(column).over(w))
-
-    return rolling(placed, "_position", rows - 1, {out: spread}).drop("_position")
+    measures = {"_known": ("count", column), out: ("std", column)}
+    spread = rolling_measures(placed, "_position", rows - 1, measures)
+    enough = F.when(F.col("_known") >= at_least, F.col(out))
+    return spread.withColumn(out, enough).drop("_position", "_known")
 
 
 def last_distinct_days(df: DataFrame, ts: str, days: int = 10) -> DataFrame:

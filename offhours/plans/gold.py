@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from offhours.functions.market import position_in_range
 from offhours.operators.merge import days_around, replace_day
-from offhours.operators.ordered import DAY_SECONDS, next_open, rolling, with_position
+from offhours.operators.ordered import DAY_SECONDS, next_open, rolling_measures, with_position
 from offhours.operators.slots import join_timeline, slot_scores, smooth_periods
 from offhours.schemas import GOLD
 
@@ -51,11 +51,8 @@ def assign_periods(
 def rolling_score(df: DataFrame, position: str, rules: GoldRules = GoldRules()) -> DataFrame:
     """Add the min-max position of the smoothed score in the rolling window."""
     score = "geo_score_raw_smoothed"
-    spread = rolling(
-        df,
-        position,
-        rules.window_rows,
-        {"_low": lambda w: F.min(score).over(w), "_high": lambda w: F.max(score).over(w)},
+    spread = rolling_measures(
+        df, position, rules.window_rows, {"_low": ("min", score), "_high": ("max", score)}
     )
     scaled = position_in_range(F.col(score), F.col("_low"), F.col("_high"))
     return spread.withColumn("score_pct_7d", scaled).drop("_low", "_high")
