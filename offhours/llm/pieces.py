@@ -7,12 +7,15 @@ is skipped when its keyed hash falls below the dropout rate. What remains are
 pieces that merges make, so every such segmentation decodes to the same text.
 
 Every occurrence of a segment draws for itself: its document and place enter the
-hash of each candidate. One that skips none of the merges of its plain encoding is
-encoded plainly, so that is looked up; the others run through their agendas.
+hash of each candidate. What an agenda does next depends on nothing but which of its
+candidates were skipped so far, so each segment has a tree of decisions, and all
+occurrences walk the trees together, each with its own hashes. One that takes a way
+that nobody has taken before runs through its agenda, and the tree grows by that way.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from functools import lru_cache
 
@@ -38,6 +41,8 @@ _ALL = (1 << 64) - 1
 _TURN = 0x9E3779B97F4A7C15
 _NONE = (1 << 31) - 1
 _CELLS = 1 << 18
+# Segments beyond this many symbols have linked neighbours and a heap of their own.
+_LONG = 256
 
 
 class Pieces:
@@ -61,6 +66,9 @@ class Pieces:
                 self.ids[piece] = i
                 scores[piece] = sp.get_score(i)
                 self.as_bytes.append(piece.replace(_MARK, " ").encode())
+        self.byte_lengths = np.array([len(b) for b in self.as_bytes])
+        self.byte_starts = np.cumsum(self.byte_lengths) - self.byte_lengths
+        self.all_bytes = np.frombuffer(b"".join(self.as_bytes), np.uint8)
         merging = {c for p in self.ids if len(p) > 1 for c in p} - {_MARK}
         inner = re.escape("".join(sorted(merging)))
         # Segments: spaces with what may merge behind them, or one character alone.
@@ -113,45 +121,96 @@ class Pieces:
         hit = self._keys[at] == key
         return np.where(hit, self._rank[at], _NONE), self._made[at]
 
+    def _merge(self, left: int, right: int) -> tuple[int, int]:
+        """`merges` of one pair."""
+        if left < 0 or right < 0:
+            return _NONE, 0
+        key = left << 20 | right
+        last = len(self._keys) - 1
+        at = (key * _TURN & _ALL) >> int(self._shift)
+        while (found := int(self._keys[at])) != key:
+            if found < 0:
+                return _NONE, 0
+            at = (at + 1) & last
+        return int(self._rank[at]), int(self._made[at])
+
     def encode_segments(
-        self, segments: list[str], keys: np.ndarray, rate: int, merged: list[bytes] | None = None
+        self, segments: list[str], keys: np.ndarray, rate: int, trace: list | None = None
     ) -> list[bytes]:
         """Ids (little-endian int32) of segments, all taken through their agendas together.
 
         Each step takes every segment's best candidate off its agenda: the piece with
         the best score, the leftmost of equals. A candidate whose keyed hash, of the
         segment's key and the candidate's place, is below ``rate`` (in 1 / 2**24) is
-        skipped for good; the others are merged, which makes new candidates. ``merged``
-        is set to the places (little-endian uint64) of each segment's merges.
+        skipped for good; the others are merged, which makes new candidates. Long
+        segments are taken one by one, which gives the same. ``trace`` is set to the
+        candidates of the others in order: number of the segment, place, whether skipped.
         """
-        if merged is not None:
-            merged[:] = [b""] * len(segments)
         out: list[bytes] = [b""] * len(segments)
         texts = [s.replace(" ", _MARK) for s in segments]
         sizes = np.array([len(t) for t in texts])
         order = np.argsort(sizes, kind="stable")
+        short = int(np.searchsorted(sizes[order], _LONG, side="right"))
+        for i in order[short:].tolist():
+            out[i] = self._alone(texts[i], int(keys[i]), rate)
         # Segments of like length, in blocks of bounded size.
-        at = 0
-        while at < len(order):
+        at, done = 0, []
+        while at < short:
             longest = max(8, int(sizes[order[at]]) * 3 // 2)
-            stop = at + int(np.searchsorted(sizes[order[at:]], longest, side="right"))
+            stop = at + int(np.searchsorted(sizes[order[at:short]], longest, side="right"))
             stop = min(stop, at + max(1, _CELLS // longest))
             some = order[at:stop]
-            done = []
-            for i, ids in zip(some, self._block([texts[i] for i in some], keys[some], rate, done)):
+            steps = []
+            for i, ids in zip(some, self._block([texts[i] for i in some], keys[some], rate, steps)):
                 out[i] = ids
-            if merged is not None and done:
-                rows, places = map(np.concatenate, zip(*done))
-                whole = places[np.argsort(rows, kind="stable")].astype("<u8").tobytes()
-                ends = 8 * np.cumsum(np.bincount(rows, minlength=len(some)))
-                for i, a, b in zip(some, [0, *ends.tolist()], ends.tolist()):
-                    merged[i] = whole[a:b]
+            if trace is not None:
+                done += [(some[rows], places, skips) for rows, places, skips in steps]
             at = stop
+        if trace is not None:
+            rows, places, skips = map(np.concatenate, zip(*done)) if done else (np.empty(0, int),) * 3
+            steps = np.argsort(rows, kind="stable")
+            trace[:] = rows[steps], places[steps].astype(np.uint64), skips[steps].astype(bool)
         for i, s in enumerate(segments):
             if len(s) == 1 and s == _MARK:
                 out[i] = self._bytes_of(s)
         return out
 
+    def _alone(self, text: str, key: int, rate: int) -> bytes:
+        """One segment with linked neighbours and a heap: its size times its logarithm in steps."""
+        n = len(text)
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        whole = self._of_point[points]
+        ranks, made = self._pairs(whole[:-1], whole[1:])
+        symbol, made = whole.tolist(), made.tolist()
+        behind, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        agenda = [(r, a, a + 1, a + 2, made[a]) for a, r in enumerate(ranks.tolist()) if r != _NONE]
+        heapq.heapify(agenda)
+
+        def offer(a: int, b: int) -> None:
+            rank, piece = self._merge(symbol[a], symbol[b])
+            if rank != _NONE:
+                heapq.heappush(agenda, (rank, a, b, behind[b], piece))
+
+        while agenda:
+            _, a, b, c, piece = heapq.heappop(agenda)
+            if behind[a] != b or behind[b] != c:
+                continue  # one of the two has been merged since
+            if rate and _mixed(key ^ _mixed((a << 40 | b << 20 | c) & _ALL)) >> 40 < rate:
+                continue
+            symbol[a], behind[a], behind[b] = piece, c, -1
+            if c < n:
+                before[c] = a
+                offer(a, c)
+            if before[a] >= 0:
+                offer(before[a], a)
+        out, a = [], 0
+        while a < n:
+            i = symbol[a]
+            plain = 0 <= i < len(self.as_bytes)
+            out.append(np.array([i], "<i4").tobytes() if plain else self._bytes_of(text[a : behind[a]]))
+            a = behind[a]
+        return b"".join(out)
+
     def _bytes_of(self, text: str) -> bytes:
         return np.array([self.byte_ids[b] for b in text.encode("utf-8", "surrogatepass")], "<i4").tobytes()
 
@@ -179,13 +238,10 @@ class Pieces:
             a, b = begin[alive, best], begin[alive, best + 1]
             c = begin[alive, best + 2]
             place = (a << 40 | b << 20 | c).astype(np.uint64)
-            if rate:
-                skip = mixed(keys[alive] ^ mixed(place)) >> np.uint64(40) < np.uint64(rate)
-                rank[alive[skip], best[skip]] = _NONE
-                row, j = alive[~skip], best[~skip]
-            else:
-                row, j = alive, best
-                done.append((row, place))
+            skip = mixed(keys[alive] ^ mixed(place)) >> np.uint64(40) < np.uint64(rate)
+            rank[alive[skip], best[skip]] = _NONE
+            row, j = alive[~skip], best[~skip]
+            done.append((alive, place, skip))
             if not len(row):
                 continue
             # The two symbols become one; what stands behind them moves up.
@@ -228,23 +284,144 @@ class Pieces:
         rank = np.where(((left < 0) | (right < 0)).ravel(), _NONE, rank)
         return rank.reshape(left.shape), piece.reshape(left.shape)
 
+    def lossless(self, values: np.ndarray, counts: np.ndarray, texts: list[str]) -> list[bool]:
+        """Whether each text's ids decode to it: their bytes against the text's, behind a space."""
+        whole = self.all_bytes[_ranges(self.byte_starts[values], self.byte_lengths[values])].tobytes()
+        sums = np.concatenate([[0], np.cumsum(self.byte_lengths[values])])
+        ends = sums[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        # Every text but an empty one got a space ahead.
+        return [
+            whole[a:b] == (b" " + t.encode("utf-8", "surrogatepass") if t else b"")
+            for t, a, b in zip(texts, ends, ends[1:])
+        ]
+
     def decode(self, ids) -> str:
         """The text that was encoded; the space that encoding set before it goes."""
         whole = b"".join(map(self.as_bytes.__getitem__, ids))
         return (whole[1:] if whole[:1] == b" " else whole).decode("utf-8", "replace")
 
 
+def _mixed(a: int) -> int:
+    """`mixed` of one number."""
+    a ^= a >> 33
+    a = a * 0xFF51AFD7ED558CCD & _ALL
+    a ^= a >> 33
+    a = a * 0xC4CEB9FE1A85EC53 & _ALL
+    return a ^ a >> 33
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``starts[0], starts[0] + 1, ...`` for each range of the given length, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+
+
 @lru_cache(maxsize=2)
 def pieces(model: str) -> Pieces:
     """Loaded once per Python worker."""
     return Pieces(model)
 
 
+class Decisions:
+    """The agendas of segments as trees: a node is a candidate, a leaf the ids that come out.
+
+    Numbers from 0 on are nodes, -1 is what nobody has come to yet, and those below are
+    leaves. A segment's tree begins with the way that its first occurrence took.
+    """
+
+    def __init__(self):
+        self.roots: dict[str, int] = {}
+        self.nodes = self.leaves = self.size = 0
+        self._place = np.empty(1 << 10, np.uint64)
+        self._child = np.empty((1 << 10, 2), np.int32)
+        self._start = np.empty(1 << 10, np.int64)
+        self._length = np.empty(1 << 10, np.int64)
+        self._values = np.empty(1 << 12, np.int32)
+
+    def _leaf(self, ids: list[bytes]) -> np.ndarray:
+        """New leaves, as numbers."""
+        first, self.leaves = self.leaves, self.leaves + len(ids)
+        start, self.size = self.size, self.size + sum(map(len, ids)) // 4
+        for name, need in (("_start", self.leaves), ("_length", self.leaves), ("_values", self.size)):
+            setattr(self, name, _roomy(getattr(self, name), need))
+        lengths = np.array([len(x) // 4 for x in ids], np.int64)
+        self._length[first : self.leaves] = lengths
+        self._start[first : self.leaves] = start + np.cumsum(lengths) - lengths
+        self._values[start : self.size] = np.frombuffer(b"".join(ids), "<i4")
+        return -2 - np.arange(first, self.leaves)
+
+    def _ways(self, places: np.ndarray, skips: np.ndarray, counts: np.ndarray, leaves: np.ndarray) -> np.ndarray:
+        """New ways of ``counts`` candidates, each down to its leaf; their beginnings."""
+        first, self.nodes = self.nodes, self.nodes + len(places)
+        self._place, self._child = _roomy(self._place, self.nodes), _roomy(self._child, self.nodes)
+        self._place[first : self.nodes] = mixed(places)
+        behind = np.arange(first + 1, self.nodes + 1)
+        ends = np.cumsum(counts)
+        behind[ends[counts > 0] - 1] = leaves[counts > 0]
+        self._child[first : self.nodes] = -1
+        self._child[np.arange(first, self.nodes), skips.astype(int)] = behind
+        return np.where(counts > 0, first + ends - counts, leaves)
+
+    def add(self, segments: list[str], ids: list[bytes], trace: list) -> None:
+        """Segments with one way each."""
+        rows, places, skips = trace
+        counts = np.bincount(rows, minlength=len(segments))
+        self.roots.update(zip(segments, self._ways(places, skips, counts, self._leaf(ids)).tolist()))
+
+    def walk(self, state: np.ndarray, keys: np.ndarray, rate: int) -> tuple[np.ndarray, ...]:
+        """From roots to leaves; where a way ends before, -1 and its last node, decision and depth."""
+        state = state.copy()
+        last, turn = np.full(len(state), -1, np.int64), np.zeros(len(state), np.int64)
+        depth = np.zeros(len(state), np.int64)
+        active = np.flatnonzero(state >= 0)
+        steps = 0
+        while len(active):
+            at = state[active]
+            skip = mixed(keys[active] ^ self._place[at]) >> np.uint64(40) < np.uint64(rate)
+            to = self._child[at, skip.astype(np.int8)]
+            state[active] = to
+            lost = to == -1
+            if lost.any():
+                some = active[lost]
+                last[some], turn[some], depth[some] = at[lost], skip[lost], steps
+            active = active[to >= 0]
+            steps += 1
+        return state, last, turn, depth
+
+    def grow(self, last, turn, depth, ids: list[bytes], trace: list) -> np.ndarray:
+        """Leaves of ways that were run because the trees ended; the trees grow by them."""
+        rows, places, skips = trace
+        leaves = self._leaf(ids)
+        counts = np.bincount(rows, minlength=len(ids))
+        starts = np.cumsum(counts) - counts
+        # Of several that fell off at the same place one is enough; long segments have no trees.
+        on = np.flatnonzero(last >= 0)
+        some = on[np.unique(last[on] * 2 + turn[on], return_index=True)[1]]
+        rest = counts[some] - depth[some] - 1
+        taken = _ranges(starts[some] + depth[some] + 1, rest)
+        self._child[last[some], turn[some]] = self._ways(places[taken], skips[taken], rest, leaves[some])
+        return leaves
+
+    def ids(self, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each leaf, all ids in order)."""
+        lengths = self._length[-2 - state]
+        return lengths, self._values[_ranges(self._start[-2 - state], lengths)]
+
+
+def _roomy(a: np.ndarray, need: int) -> np.ndarray:
+    """``a``, or a copy with twice the room that is needed."""
+    if need <= len(a):
+        return a
+    more = np.empty((2 * need, *a.shape[1:]), a.dtype)
+    more[: len(a)] = a
+    return more
+
+
 class Encoder:
     """Encodes texts; segments met before are looked up, in a cache of bounded size.
 
     With ``variants`` None each occurrence is drawn by document and place, and the
-    cache holds plain encodings; else each segment has so many segmentations.
+    cache holds trees of decisions; else each segment has so many segmentations.
     """
 
     def __init__(self, model: str, rate: float, seed: int, variants: int | None, cache: int = CACHE):
@@ -252,15 +429,34 @@ class Encoder:
         self.rate, self.seed = round(rate * (1 << 24)), seed & _ALL
         self.drawn = variants is None and self.rate > 0
         self.variants = variants if self.rate and variants else 1
-        # Beside plain encodings stand the places of their merges.
-        self.most = max(1, cache // (2 if self.drawn else self.variants))
+        self.most = max(1, cache // self.variants)
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.plain: dict[str, tuple[bytes, bytes]] = {}
+        self.decisions = Decisions()
+
+    def flat(self, texts: list[str], streams: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each text, all ids in order). ``streams`` tell documents apart."""
+        if not self.drawn:
+            found = self.encode(texts, streams)
+            return np.array([len(x) // 4 for x in found], np.int64), np.frombuffer(b"".join(found), "<i4")
+        find = self.vocabulary.segment.findall
+        done, some, at, size = [], [], [], 0
+        for t, stream in zip(texts, streams):
+            some.append(find(" " + t) if t else [])
+            at.append(stream)
+            size += len(some[-1])
+            if size >= _DRAWN:
+                done.append(self._drawn(some, at))
+                some, at, size = [], [], 0
+        done.append(self._drawn(some, at))
+        counts, values = zip(*done)
+        return np.concatenate(counts), np.concatenate(values)
 
     def encode(self, texts: list[str], streams: list[int]) -> list[bytes]:
         """Ids of each text as little-endian int32. ``streams`` tell documents apart."""
         if self.drawn:
-            return self._draw(texts, streams)
+            counts, values = self.flat(texts, streams)
+            whole, ends = values.astype("<i4").tobytes(), [0, *(4 * np.cumsum(counts)).tolist()]
+            return [whole[a:b] for a, b in zip(ends, ends[1:])]
         find, known = self.vocabulary.segment.findall, self.known
         if any(len(k) >= self.most for k in known):
             for k in known:
@@ -287,49 +483,35 @@ class Encoder:
             out.append(b"".join(found))
         return out
 
-    def _draw(self, texts: list[str], streams: list[int]) -> list[bytes]:
-        find = self.vocabulary.segment.findall
-        out, some, at, size = [], [], [], 0
-        for t, stream in zip(texts, streams):
-            some.append(find(" " + t) if t else [])
-            at.append(stream)
-            size += len(some[-1])
-            if size >= _DRAWN:
-                out += self._drawn(some, at)
-                some, at, size = [], [], 0
-        return out + self._drawn(some, at)
-
-    def _drawn(self, texts: list[list[str]], streams: list[int]) -> list[bytes]:
-        """Ids of texts that are cut into segments, each occurrence with skips of its own."""
-        if len(self.plain) >= self.most:
-            self.plain.clear()
-        codes: dict[str, int] = {}
-        code = np.array([codes.setdefault(s, len(codes)) for t in texts for s in t], np.int64)
-        if not len(code):
-            return [b""] * len(texts)
-        segments = list(codes)
-        new = [s for s in segments if s not in self.plain]
+    def _drawn(self, texts: list[list[str]], streams: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """`flat` of texts that are cut into segments."""
+        sizes = np.array([len(t) for t in texts], np.int64)
+        if not sizes.sum():
+            return sizes, np.empty(0, np.int32)
+        tree = self.decisions
+        if max(tree.nodes, tree.size) > 4 * self.most or len(tree.roots) > self.most // 2:
+            tree = self.decisions = Decisions()
+        coded = pa.array([s for t in texts for s in t], pa.string()).dictionary_encode()
+        segments, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        keys = np.concatenate([self._places(n, s) for n, s in zip(sizes.tolist(), streams)])
+        # The first occurrence of a new segment goes its own way, which is where its tree begins.
+        new = [i for i, s in enumerate(segments) if s not in tree.roots and len(s) <= _LONG]
         if new:
-            merged: list[bytes] = []
-            ids = self.vocabulary.encode_segments(new, np.zeros(len(new), np.uint64), 0, merged)
-            self.plain.update(zip(new, zip(ids, merged)))
-        ids, merged = zip(*map(self.plain.__getitem__, segments))
-        places = mixed(np.frombuffer(b"".join(merged), "<u8"))
-        number = np.array([len(m) // 8 for m in merged])
-        first = np.cumsum(number) - number
-        keys = np.concatenate([self._places(len(t), s) for t, s in zip(texts, streams)])
-        # Every merge of every occurrence's plain encoding.
-        times = number[code]
-        of = np.repeat(np.arange(len(code)), times)
-        which = np.arange(len(of)) - np.repeat(np.cumsum(times) - times - first[code], times)
-        skip = mixed(keys[of] ^ places[which]) >> np.uint64(40) < np.uint64(self.rate)
-        varied = np.unique(of[skip])
-        found = [ids[c] for c in code.tolist()]
-        other = [segments[c] for c in code[varied].tolist()]
-        for i, x in zip(varied.tolist(), self.vocabulary.encode_segments(other, keys[varied], self.rate)):
-            found[i] = x
-        ends = np.cumsum([len(t) for t in texts]).tolist()
-        return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends)]
+            trace: list = []
+            names = [segments[i] for i in new]
+            first = np.unique(code, return_index=True)[1][new]
+            tree.add(names, self.vocabulary.encode_segments(names, keys[first], self.rate, trace), trace)
+        roots = np.array([tree.roots.get(s, -1) for s in segments], np.int64)
+        state, last, turn, depth = tree.walk(roots[code], keys, self.rate)
+        lost = np.flatnonzero(state == -1)
+        if len(lost):
+            trace = []
+            other = [segments[c] for c in code[lost].tolist()]
+            ids = self.vocabulary.encode_segments(other, keys[lost], self.rate, trace)
+            state[lost] = tree.grow(last[lost], turn[lost], depth[lost], ids, trace)
+        lengths, values = tree.ids(state)
+        sums = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes)])]
+        return np.diff(sums), values
 
     def _places(self, n: int, stream: int) -> np.ndarray:
         """Keys of a document's occurrences, by seed, document and place."""
@@ -378,19 +560,14 @@ def encode(
 
     def run(batch):
         coder = encoder(model, dropout, seed, variants)
-        decode_ids = coder.vocabulary.decode
-        out, same = [], []
-        keys, texts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        for at in range(0, len(texts), 500):
-            some = texts[at : at + 500]
-            for t, ids in zip(some, coder.encode([t or "" for t in some], keys[at : at + 500])):
-                out.append(None if t is None else ids)
-                same.append(None if t is None else decode_ids(np.frombuffer(ids, "<i4").tolist()) == t)
-        sizes = np.array([len(x) // 4 if x else 0 for x in out], np.int64)
-        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        values = np.frombuffer(b"".join([x for x in out if x]), "<i4")
-        nulls = pa.array([x is None for x in out])
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()), mask=nulls)
+        texts = batch.column(2).to_pylist()
+        nulls = [t is None for t in texts]
+        texts = [t or "" for t in texts]
+        sizes, values = coder.flat(texts, batch.column(1).to_pylist())
+        same = coder.vocabulary.lossless(values, sizes, texts)
+        same = [None if null else s for null, s in zip(nulls, same)]
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        lists = pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()), mask=pa.array(nulls))
         return pa.RecordBatch.from_arrays(
             [batch.column(0), lists, pa.array(sizes), pa.array(same, pa.bool_()), *batch.columns[3:]],
             [id_column, "ids", "n_ids", "lossless", *kept],
