@@ -22,7 +22,8 @@ from offhours.llm.shared import batches, column, stored, table
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
-FREQUENT = 1 << 18
+# What is broadcast: so many pre-tokens at most, none longer than this (16 MB in all).
+FREQUENT, LONGEST = 1 << 18, 64
 _RUN = re.compile(r" +[^ ]*")
 
 
@@ -95,7 +96,8 @@ def piece_counts(docs: DataFrame, model: str = MODEL, text: str = "text") -> Dat
 
 
 def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """Pre-tokens above a frequency, at most ``most`` of them."""
+    """Pre-tokens above a frequency that are not too long, at most ``most`` of them."""
+    counts = counts.where(F.octet_length("pre_token") <= LONGEST)
     level = F.floor(F.log2("n") * 8).cast("int")
     found = counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
     cut, total = None, 0
@@ -117,12 +119,13 @@ def token_counts(
 ) -> DataFrame:
     """Tokens per document: ``doc_id``, ``n_bytes``, ``n_tokens``, ``over_limit``.
 
-    Counts of the most frequent pre-tokens (``frequent`` at most: the bound of
-    what is broadcast) are looked up where the documents are; all other
-    pre-tokens are joined to their counts by a shuffle. Rows are told apart by
-    their place, so repeated or null ids stay separate rows. A null or empty
-    text has 0 bytes and 0 tokens; an empty table gives an empty result. Only
-    the two named columns are read, so other columns cannot clash.
+    Counts of the most frequent short pre-tokens (``frequent`` at most, up to 64 bytes each: the
+    bound of what is broadcast) are looked up where the documents are; all other
+    pre-tokens are joined to their counts by a shuffle. Rows are told apart by id
+    and text, and counted, so repeated or null ids stay separate rows, in whatever order
+    rows come when a task runs again. A null or empty text has 0 bytes and 0 tokens; an
+    empty table gives an empty result. Only the two named columns are read, so other
+    columns cannot clash.
     """
     spark = docs.sparkSession
     counts = piece_counts(docs, model, text)
@@ -130,52 +133,63 @@ def token_counts(
         _most_frequent(counts, frequent).select("pre_token", "pieces").toArrow()
     )
 
-    def look_up(batch):
-        n, tokens = pre_tokens(batch.column(2))
-        rows = np.repeat(batch.column(0).to_numpy(), n)
-        names = known.value.column("pre_token").combine_chunks()
-        place = pc.index_in(tokens, value_set=names)
-        rare = place.is_null().to_numpy(zero_copy_only=False)
-        pieces = known.value.column("pieces").to_numpy()
-        each = np.zeros(len(tokens), np.int64)
-        each[~rare] = pieces[place.drop_null().to_numpy()]
+    def look_up(batch, pieces_of):
+        n, tokens = pre_tokens(batch.column(3))
+        rows = np.repeat(np.arange(batch.num_rows), n)
+        coded = tokens.dictionary_encode()
+        each = np.array([pieces_of(t, -1) for t in coded.dictionary.to_pylist()], np.int64)
+        each = each[coded.indices.to_numpy()] if len(tokens) else each
+        rare = each < 0
+        each[rare] = 0
         ends = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(n)])]
         left = (
             pa.table({"row": rows[rare], "pre_token": tokens.filter(pa.array(rare))})
             .group_by(["row", "pre_token"])
             .aggregate([([], "count_all")])
         )
-        sizes = pc.binary_length(pc.fill_null(batch.column(2), "").cast(pa.binary()))
+        sizes = pc.binary_length(pc.fill_null(batch.column(3), "").cast(pa.binary()))
         some, more = batch.num_rows, left.num_rows
+        of = pa.concat_arrays([pa.array(np.arange(some)), left.column("row").combine_chunks()])
         return pa.RecordBatch.from_arrays(
             [
-                pa.concat_arrays([batch.column(0), left.column("row").combine_chunks()]),
-                pa.concat_arrays([batch.column(1), pa.nulls(more, batch.column(1).type)]),
+                *[batch.column(i).take(of) for i in range(3)],
                 pa.concat_arrays([sizes.cast(pa.int64()), pa.nulls(more, pa.int64())]),
                 pa.concat_arrays([pa.array(np.diff(ends)), left.column("count_all").combine_chunks()]),
                 pa.concat_arrays([pa.nulls(some, pa.string()), left.column("pre_token").combine_chunks()]),
             ],
-            ["row", "id", "n_bytes", "n", "pre_token"],
+            ["id", "h1", "h2", "n_bytes", "n", "pre_token"],
         )
 
+    def run(it):
+        # One dictionary for all batches of a task.
+        names, numbers = (known.value.column(c).to_pylist() for c in ("pre_token", "pieces"))
+        pieces_of = dict(zip(names, numbers)).get
+        return batches(lambda batch: look_up(batch, pieces_of))(it)
+
     kind = dict(docs.dtypes)[id_column]
     # Rows without a pre-token are the documents; what they need is in place.
+    text = column(docs, text)
     parts = docs.select(
-        F.monotonically_increasing_id().alias("row"),
         column(docs, id_column).alias("id"),
-        column(docs, text).alias("text"),
-    ).mapInArrow(batches(look_up), f"row long, id {kind}, n_bytes long, n long, pre_token string")
-    # A document's own row joins nothing: its key is no pre-token and is spread evenly.
-    key = F.coalesce("pre_token", F.concat(F.lit("  ▁"), F.col("row").cast("string")))
-    joined = parts.withColumn("key", key).join(
+        F.xxhash64(text).alias("h1"),
+        F.xxhash64(F.lit(7), text).alias("h2"),
+        text.alias("text"),
+    ).mapInArrow(run, f"id {kind}, h1 long, h2 long, n_bytes long, n long, pre_token string")
+    # A document's own row joins nothing: its key is no pre-token and only has to be spread.
+    own = F.concat(F.lit("  ▁"), F.monotonically_increasing_id().cast("string"))
+    joined = parts.withColumn("key", F.coalesce("pre_token", own)).join(
         counts.select(F.col("pre_token").alias("key"), "pieces"), "key", "left"
     )
     tokens = F.sum(F.col("n") * F.coalesce("pieces", F.lit(1)))
-    return (
-        joined.groupBy("row")
-        .agg(F.max("id").alias(id_column), F.max("n_bytes").alias("n_bytes"), tokens.alias("n_tokens"))
-        .select(id_column, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    # Rows with one id and text have the same count: the sum over them all is shared out.
+    each = joined.groupBy("id", "h1", "h2").agg(
+        F.max("n_bytes").alias("n_bytes"), F.count("n_bytes").alias("copies"), tokens.alias("all")
+    )
+    counted = each.select(
+        F.col("id").alias(id_column), "n_bytes", F.expr("all div copies").alias("n_tokens"), "copies"
     )
+    rows = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies", "copy")
+    return rows.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,15 @@ def test_registered_query(spark):
     found = op7_token_counts(spark, "/root/testdata/sf0.001")
     assert dict(found.dtypes) == {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"}
     assert found.count() == 200
+    texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    found = {r["doc_id"]: r["n_tokens"] for r in op7_token_counts(spark, "/root/testdata/sf0.01").collect()}
+    assert found == {i: len(processor(MODEL).encode(t or "")) for i, t in texts}
+
+
+def test_long_pre_tokens_are_not_broadcast(spark):
+    rows = [(i, f"{i}" * 40_000 + " a a a", "en", "a") for i in range(20)]
+    found = {r["doc_id"]: r["n_tokens"] for r in token_counts(documents(spark, rows)).collect()}
+    assert found == {i: len(processor(MODEL).encode(t)) for i, t, _, _ in rows}
 
 
 def test_edges(spark):
