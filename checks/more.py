@@ -20,7 +20,7 @@ from offhours import jobs
 from offhours.operators import profile
 from offhours.plans import candles, events, gold, serving
 from offhours.plans.events import EventRules
-from offhours.plans.landing import land_rows
+from offhours.plans.landing import land_listed, land_rows, ledger
 from offhours.schemas import DOCUMENTS, GOLD, RAW_EVENTS, SILVER_CANDLES, SILVER_EVENTS
 from offhours.session import fresh_folder, materialize
 from offhours.sources import documents, exports, feed, lake
@@ -251,6 +251,52 @@ def _(layers):
     return events.cast_events(lake.read_table(layers.spark, path, RAW_EVENTS))
 
 
+def landed_in_turns(layers) -> str:
+    """One part of the archives lands, then all are offered twice, a broken one among them."""
+    path = fresh_folder(layers.spark, "raw")
+    packed = feed.packed_slots(layers.raw_events).select("path", "content")
+    broken = layers.spark.createDataFrame(
+        [("feed/20240105001500.export.CSV.zip.part", b"no archive")], "path string, content binary"
+    )
+    archives = materialize(
+        packed.union(broken).withColumns(
+            {"length": F.length("content").cast("long"), "modificationTime": F.lit("2024-02-01").cast("timestamp")}
+        )
+    )
+    part = F.crc32(F.col("path").cast("binary")) % 3 == 0
+    counts = []
+    for offered in (archives.where(part), archives, archives):
+        found = land_listed(
+            offered.select("path", "length", "modificationTime"),
+            lambda paths: archives.join(
+                layers.spark.createDataFrame([(p,) for p in paths], "path string"), "path", "left_semi"
+            ).select("path", "modificationTime", "length", "content"),
+            path,
+        )
+        counts.append((found.known, found.landed + found.refused))
+    assert counts[0][0] == 0 and counts[1][0] == counts[0][1], counts
+    assert counts[2] == (sum(counts[1]), 0), counts
+    return path
+
+
+@query("land_ledger", f"SELECT {TYPED_SQL} FROM typed_events")
+def _(layers):
+    path = landed_in_turns(layers)
+    return events.cast_events(lake.read_table(layers.spark, path, RAW_EVENTS))
+
+
+@query(
+    "ledger_entries",
+    """SELECT day, count(*) AS landed, sum(n)::BIGINT AS lines FROM (
+           SELECT CAST(CAST(DATEADDED AS DATE) AS VARCHAR) AS day, DATEADDED, count(*) AS n FROM typed_events
+           WHERE DATEADDED IS NOT NULL GROUP BY ALL) GROUP BY day""",
+)
+def _(layers):
+    entries = ledger(layers.spark, landed_in_turns(layers)).where(F.col("reason").isNull())
+    day = F.to_date(F.substring("archive", 1, 8), "yyyyMMdd").cast("string").alias("day")
+    return entries.groupBy(day).agg(F.count(F.lit(1)).alias("landed"), F.sum("lines").alias("lines"))
+
+
 @query(
     "day_scan",
     f"SELECT {CANDLE_SQL} FROM silver_candles WHERE CAST(Datetime AS DATE) = DATE '{DAY}'",

@@ -27,7 +27,7 @@ from offhours.operators.merge import new_only
 from offhours.plans.candles import clean_candles, merge_candles
 from offhours.plans.events import EVENT_KEY, EventRules, clean_events
 from offhours.plans.gold import GoldRules, context_start, day_index, stress_index
-from offhours.plans.landing import land_archives
+from offhours.plans.landing import land_archives, landing_report
 from offhours.plans.serving import absent_columns
 from offhours.session import build_session, observed
 from offhours.sources.documents import WriteAccount, write_documents
@@ -69,9 +69,23 @@ def _rebuilt(df: DataFrame, path: str, ts: str, label: str) -> bool:
 
 
 def land(spark: SparkSession, archives: str, raw: str, day: str | None = None) -> bool:
-    """Unpack landed archives, of one day or all, each replacing its own former rows."""
+    """Unpack what is new among landed archives, of one day or all.
+
+    Logs what came, and for a single day how many of its quarter hours are missing.
+    """
     stamp = day.replace("-", "") if day else ""
-    return land_archives(spark, archives, raw, f"{stamp}*.export.CSV.zip")
+    found = land_archives(spark, archives, raw, f"{stamp}*.export.CSV.zip")
+    if found is None:
+        log.info("no archives in %s", archives)
+        return False
+    log.info(
+        "%d archives: %d known, %d landed, %d refused", found.seen, found.known, found.landed, found.refused
+    )
+    if day:
+        days = spark.range(1).select(F.lit(day).cast("date").alias("day"))
+        report = landing_report(spark, raw, days).first()
+        log.info("%s: %d of %d slots, %d missing", day, report["present"], report["expected"], report["missing"])
+    return True
 
 
 def events_history(

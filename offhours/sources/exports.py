@@ -103,10 +103,19 @@ def unpack_archives(archives: DataFrame) -> DataFrame:
     return _known_text(lines.select("archive", "member", row).select("archive", "member", "row.*"))
 
 
-def read_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
-    """Rows of every zip archive below ``path``; archives are spread over tasks."""
+def list_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
+    """``path``, ``modificationTime`` and ``length`` of every archive below ``path``, unopened."""
+    return _binary_files(spark, path, pattern).select("path", "modificationTime", "length")
+
+
+def open_archives(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The named archives with their content."""
+    return spark.read.format("binaryFile").load(paths)
+
+
+def _binary_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     try:
-        files = (
+        return (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", pattern)
             .option("recursiveFileLookup", True)
@@ -116,4 +125,8 @@ def read_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> Dat
         if error.getCondition() == "PATH_NOT_FOUND":
             raise MissingTable(path) from error
         raise
-    return unpack_archives(files)
+
+
+def read_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
+    """Rows of every zip archive below ``path``; archives are spread over tasks."""
+    return unpack_archives(_binary_files(spark, path, pattern))
