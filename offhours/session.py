@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # What Spark and a Python worker each hold of a batch.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 # Settings that only a new application takes: checkpoints go with their DataFrames.
