@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -11,13 +12,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offhours.session import delete_folder, fresh_folder
+from offhours.session import delete_folder, fresh_folder, prepare
 
 # ASCII white space, as the contracts write it: [\x20\x09-\x0D].
 WORD = rb"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -81,7 +83,7 @@ def batches(
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A function on batches as ``mapInArrow`` wants it.
 
-    Spark's batches hold up to 64 MB of text; ``fn`` gets some ``size`` bytes of it at a
+    Spark's batches hold many MB of text; ``fn`` gets some ``size`` bytes of it at a
     time, at most ``rows`` rows and at least one, which bounds the memory of what it
     derives from them.
     """
@@ -92,10 +94,20 @@ def batches(
                 out = fn(batch.slice(start, stop - start))
                 if out is not None and out.num_rows:
                     yield out
+        _give_back()
 
     return run
 
 
+def _give_back() -> None:
+    """Give memory that a task has freed back to the system: workers are kept for other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # a C library without it
+        pass
+
+
 def _cuts(batch: pa.RecordBatch, size: int, rows: int) -> Iterator[tuple[int, int]]:
     """First and one behind the last row of each piece of a batch."""
     weights = np.zeros(batch.num_rows, np.int64)
