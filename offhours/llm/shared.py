@@ -12,14 +12,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offhours.session import delete_folder, fresh_folder, prepare
+from offhours.session import RUNTIME_SETTINGS, delete_folder, fresh_folder
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 # ASCII white space, as the contracts write it: [\x20\x09-\x0D].
 WORD = rb"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    prepare(spark)
+    spark.conf.set(_BATCH, RUNTIME_SETTINGS[_BATCH])  # also in sessions that others have made
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
