@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ from offhours.plans.events import EventRules
 from offhours.plans.landing import land_listed, land_rows, ledger
 from offhours.schemas import DOCUMENTS, GOLD, RAW_EVENTS, SILVER_CANDLES, SILVER_EVENTS
 from offhours.session import fresh_folder, materialize
-from offhours.sources import documents, exports, feed, lake
+from offhours.sources import documents, exports, feed, lake, versions
 
 # --- values as real feeds have them ---------------------------------------------------
 
@@ -297,6 +299,40 @@ def _(layers):
     return entries.groupBy(day).agg(F.count(F.lit(1)).alias("landed"), F.sum("lines").alias("lines"))
 
 
+@query(
+    "table_versions",
+    f"""SELECT label, CAST(CAST(Datetime AS DATE) AS VARCHAR) AS day, count(*) AS n FROM (
+            SELECT 'before' AS label, Datetime FROM silver_candles WHERE Datetime < TIMESTAMP '{DAY}'
+            UNION ALL SELECT 'during', Datetime FROM silver_candles WHERE Datetime < TIMESTAMP '{DAY}'
+            UNION ALL SELECT 'after', Datetime FROM silver_candles
+            UNION ALL SELECT 'both', Datetime FROM silver_candles WHERE CAST(Datetime AS DATE) <> DATE '{DAY}')
+        WHERE Datetime IS NOT NULL GROUP BY ALL""",
+)
+def _(layers):
+    """Readers before, in the middle of and after a rebuild, and two writers of days at once."""
+    spark, path = layers.spark, fresh_folder(layers.spark, "versions")
+    rows = layers.candles.where(F.col("Datetime").isNotNull())
+    lake.write_whole(rows.where(F.col("Datetime") < F.lit(DAY).cast("timestamp")), path, "Datetime")
+    before = lake.read_table(spark, path, SILVER_CANDLES)
+    staged = versions.stage(rows, path, "Datetime")
+    during = lake.read_table(spark, path, SILVER_CANDLES)
+    versions.publish(spark, path, staged, "whole")
+    after = lake.read_table(spark, path, SILVER_CANDLES)
+    # Two writers stage upon one version: the second one's change goes on top of the first's.
+    last = rows.where(F.to_date("Datetime") == DAY)
+    one = versions.stage(last, path, "Datetime")
+    two = versions.stage(last.limit(0).unionByName(last), path, "Datetime")
+    versions.publish(spark, path, one, "days")
+    versions.publish(spark, path, two, "days")
+    both = lake.read_table(spark, path, SILVER_CANDLES).where(F.to_date("Datetime") != DAY)
+    tagged = {"before": before, "during": during, "after": after, "both": both}
+    parts = [df.select(F.lit(k).alias("label"), "Datetime") for k, df in tagged.items()]
+    whole = reduce(DataFrame.union, parts)
+    return whole.groupBy("label", F.to_date("Datetime").cast("string").alias("day")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 @query(
     "day_scan",
     f"SELECT {CANDLE_SQL} FROM silver_candles WHERE CAST(Datetime AS DATE) = DATE '{DAY}'",

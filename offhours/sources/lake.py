@@ -1,8 +1,11 @@
-"""Parquet tables of the lake: partitioned by day, replaced day by day."""
+"""Parquet tables of the lake: partitioned by day, replaced day by day.
+
+Tables that were ever built whole have versions (`sources.versions`): they change in one
+step, and readers keep the version they began with. Others are plain folders of days.
+"""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DAY = "date"
+from offhours.sources import versions
+from offhours.sources.versions import DAY, hadoop
 
 
 class MissingTable(FileNotFoundError):
@@ -21,10 +25,7 @@ class EmptyResult(ValueError):
     """A rebuild came out without a row; the table it was to replace stays."""
 
 
-def _hadoop(spark: SparkSession, path: str):
-    """The file system of a path, and the path as it knows it."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+_hadoop = hadoop
 
 
 def has_files(spark: SparkSession, path: str) -> bool:
@@ -59,18 +60,32 @@ def read_table(
     """A day-partitioned table with its declared schema (no footer is merged or sampled).
 
     A folder that does not exist or holds no files is missing; other errors rise
-    as they are. A table left aside by a swap that was cut off is put back first.
+    as they are. A table with versions is read as of the latest one.
     """
+    return _read(spark, path, schema, day_column)
+
+
+def _read(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    day_column: bool,
+    days: Sequence[str] | None = None,
+) -> DataFrame:
     _recover(spark, path)
-    _require_files(spark, [path])
-    df = spark.read.schema(_partitioned(schema)).parquet(path)
+    version = versions.current(spark, path)
+    if version:
+        df = versions.read(spark, path, schema, version, days)
+    else:
+        _require_files(spark, [path])
+        df = spark.read.schema(_partitioned(schema)).parquet(path)
     return df.select(*[f"`{c}`" for c in schema.names], *([DAY] if day_column else []))
 
 
 def read_day(spark: SparkSession, path: str, schema: T.StructType, day: str) -> DataFrame | None:
     """One day's folder of a table, or None when nothing landed that day."""
     try:
-        whole = read_table(spark, path, schema, day_column=True)
+        whole = _read(spark, path, schema, True, [day])
     except MissingTable:
         return None
     rows = whole.where(F.col(DAY) == F.lit(day).cast("date")).drop(DAY)
@@ -82,14 +97,21 @@ def read_days(
 ) -> DataFrame:
     """An explicit list of days; only their folders are read."""
     wanted = [F.lit(d).cast("date") for d in days]
-    return read_table(spark, path, schema, day_column=True).where(F.col(DAY).isin(*wanted)).drop(DAY)
+    return _read(spark, path, schema, True, days).where(F.col(DAY).isin(*wanted)).drop(DAY)
 
 
 def read_folders(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None
 ) -> DataFrame:
-    """Every Parquet file below the given folders, however they are nested."""
+    """Every Parquet file below the given folders, however they are nested.
+
+    Of tables with versions these are the files of the latest one.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    latest = [versions.current(spark, p) for p in paths]
+    paths = [
+        f for p, v in zip(paths, latest) for f in ([f"{p.rstrip('/')}/{d}" for d in v.folders] if v else [p])
+    ]
     reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", False)
     reader = reader.schema(schema) if schema else reader
     _require_files(spark, paths)
@@ -117,8 +139,16 @@ def write_days(df: DataFrame, path: str, ts: str, mode: str = "overwrite") -> No
     ``overwrite`` replaces only the days that ``df`` holds. Spark writes them
     aside and swaps them in when the job commits, so the table may also be an
     input of ``df``, and running the job again gives the same table. ``append``
-    adds files.
+    adds files. In a table with versions either gives a new version; a reader sees all
+    of the change or nothing of it.
     """
+    spark = df.sparkSession
+    if versions.is_versioned(spark, path):
+        staged = versions.stage(df, path, ts)
+        if staged:
+            versions.publish(spark, path, staged, "days" if mode == "overwrite" else "append")
+            versions.vacuum(spark, path)
+        return
     (
         by_day(df, ts)
         .sortWithinPartitions(DAY, ts)
@@ -132,46 +162,27 @@ def write_days(df: DataFrame, path: str, ts: str, mode: str = "overwrite") -> No
 def write_whole(df: DataFrame, path: str, ts: str) -> None:
     """Replace a whole table, which may itself be an input of ``df``.
 
-    The new table is written aside, in a folder of its own, and takes the old
-    one's place once complete: a job that fails, or that comes out without a row,
-    leaves the old table as it was. A crash between the two renames leaves it in
-    ``<path>__old``, from where the next read or write puts it back.
+    The new rows are written beside the old ones and become the table when their manifest is
+    published: a job that fails, or that comes out without a row, leaves the old table as it
+    was, and a reader gets the old table or the new one, never parts of both. The version
+    before stays for those who still read it.
     """
     spark, target = df.sparkSession, path.rstrip("/")
     _recover(spark, target)
-    staging = f"{target}__staging-{uuid.uuid4().hex}"
-    (
-        by_day(df, ts)
-        .sortWithinPartitions(DAY, ts)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(DAY)
-        .parquet(staging)
-    )
-    if not has_files(spark, staging):
-        fs, place = _hadoop(spark, staging)
-        fs.delete(place, True)
+    staged = versions.stage(df, target, ts)
+    if not staged:
         raise EmptyResult(target)
-    _swap(spark, staging, target)
+    versions.publish(spark, target, staged, "whole")
+    versions.vacuum(spark, target)
 
 
 def _recover(spark: SparkSession, target: str) -> None:
-    """Put back a table that a swap had set aside when it was cut off."""
+    """Put back a table that was set aside by the renaming swap of earlier releases.
+
+    No writer moves folders any more, so nothing is under way when a table is found aside.
+    """
     target = target.rstrip("/")
-    fs, live = _hadoop(spark, target)
-    _, old = _hadoop(spark, f"{target}__old")
+    fs, live = hadoop(spark, target)
+    _, old = hadoop(spark, f"{target}__old")
     if not fs.exists(live) and fs.exists(old):
         fs.rename(old, live)
-
-
-def _swap(spark: SparkSession, staging: str, target: str) -> None:
-    fs, live = _hadoop(spark, target)
-    (_, new), (_, old) = _hadoop(spark, staging), _hadoop(spark, f"{target}__old")
-    if fs.exists(live):
-        # What lies in the old place is from a swap that was finished: live is newer.
-        fs.delete(old, True)
-        if not fs.rename(live, old):
-            raise OSError(f"could not set {target} aside")
-    if not fs.rename(new, live):
-        raise OSError(f"could not move {staging} to {target}; the former table is in {target}__old")
-    fs.delete(old, True)
