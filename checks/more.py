@@ -415,3 +415,22 @@ def _(layers):
     jobs.index_daily(spark, c, e, g, DAY)
     spark.catalog.refreshByPath(g)
     return lake.read_table(spark, g, GOLD)
+
+
+@query("index_from_slots", f"{GOLD_SQL} FROM gold", digits=6)
+def _(layers):
+    """Events come in three pieces; each index after them reads kept slots only."""
+    spark = layers.spark
+    c, e, g, k = (fresh_folder(spark, name) for name in ("candles", "events", "gold", "slots"))
+    lake.write_days(layers.candles, c, "Datetime")
+    everything = materialize(layers.events)
+    piece = F.crc32(F.col("GlobalEventID").cast("string").cast("binary")) % 3
+    lake.write_whole(everything.where(piece == 0), e, "DATEADDED")
+    jobs.index_history(spark, c, e, g, slots=k)
+    for number in (1, 2):
+        lake.write_days(everything.where(piece == number), e, "DATEADDED", mode="append")
+    jobs.index_daily(spark, c, e, g, DAY, slots=k)
+    day = lake.read_day(spark, g, GOLD, DAY)
+    jobs.index_history(spark, c, e, g, slots=k)
+    rest = lake.read_table(spark, g, GOLD).where(F.to_date("Datetime") != DAY)
+    return rest.unionByName(day)

@@ -27,9 +27,11 @@ from offhours.operators.merge import new_only
 from offhours.plans.candles import clean_candles, merge_candles
 from offhours.plans.events import EVENT_KEY, EventRules, clean_events
 from offhours.plans.gold import GoldRules, context_start, day_index, stress_index
+from offhours.plans.kept import kept_slots, update_slots
 from offhours.plans.landing import land_archives, landing_report
 from offhours.plans.serving import absent_columns
 from offhours.session import build_session, observed
+from offhours.sources import versions
 from offhours.sources.documents import WriteAccount, write_documents
 from offhours.sources.lake import (
     DAY,
@@ -172,12 +174,21 @@ def candles_daily(spark: SparkSession, raw: str, silver: str, day: str) -> bool:
 
 
 def index_history(
-    spark: SparkSession, candles: str, events: str, gold: str, rules: GoldRules = GoldRules()
+    spark: SparkSession,
+    candles: str,
+    events: str,
+    gold: str,
+    rules: GoldRules = GoldRules(),
+    slots: str | None = None,
 ) -> bool:
-    """Build the whole index table."""
+    """Build the whole index table; with ``slots``, a folder of kept slot scores, from these."""
     c = read_table(spark, candles, schemas.SILVER_CANDLES)
-    e = read_table(spark, events, schemas.SILVER_EVENTS)
-    return _rebuilt(stress_index(c, e, rules), gold, "Datetime", "index")
+    if slots:
+        update_slots(spark, events, slots, rules.floor_slots)
+        e = kept_slots(spark, events, slots)
+    else:
+        e = read_table(spark, events, schemas.SILVER_EVENTS)
+    return _rebuilt(stress_index(c, e, rules, slots=bool(slots)), gold, "Datetime", "index")
 
 
 def index_daily(
@@ -187,14 +198,15 @@ def index_daily(
     gold: str,
     day: str,
     rules: GoldRules = GoldRules(),
+    slots: str | None = None,
 ) -> bool:
     """Recompute one day of the index and replace it.
 
     Where the context starts is found first (one value), so that only the
-    folders from there on are read.
+    folders from there on are read. With ``slots`` no events are read but those that
+    have come since the kept slot scores were last brought up to date.
     """
     c = read_table(spark, candles, schemas.SILVER_CANDLES, day_column=True)
-    e = read_table(spark, events, schemas.SILVER_EVENTS, day_column=True)
     start = context_start(c, day, rules).first()["start"]
     upto = F.col(DAY) <= F.lit(day).cast("date")
     since = F.col(DAY) >= F.lit(start.date()) if start else F.lit(True)
@@ -202,7 +214,14 @@ def index_daily(
     def context(df: DataFrame) -> DataFrame:
         return df.where(upto & since).drop(DAY)
 
-    fresh = day_index(context(c), context(e), day, rules, start=start)
+    if slots:
+        update_slots(spark, events, slots, rules.floor_slots)
+        first = str(start.date()) if start else ""
+        days = [d for d in versions.current(spark, events).days() if first <= d <= day]
+        e = kept_slots(spark, events, slots, days)
+    else:
+        e = context(read_table(spark, events, schemas.SILVER_EVENTS, day_column=True))
+    fresh = day_index(context(c), e, day, rules, start=start, slots=bool(slots))
     # A day without an open candle gives no rows, which replace nothing: rows that an
     # earlier run wrote for it stay until the next rebuild.
     return _logged(fresh, "Datetime", lambda df: write_days(df, gold, "Datetime"), "index day") > 0
@@ -234,6 +253,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         job.add_argument("--date", help="the day to bring up to date (YYYY-MM-DD)")
         for option in options:
             job.add_argument(f"--{option}", required=True)
+        if name == "index":
+            job.add_argument("--slots", help="folder of kept slot scores")
     job = jobs.add_parser("land")
     job.add_argument("--archives", required=True)
     job.add_argument("--raw", required=True)
@@ -260,7 +281,8 @@ def main(argv: list[str] | None = None) -> None:
         run(spark, args.raw, args.silver, *([args.date] if daily else []))
     elif args.job == "index":
         run = index_daily if daily else index_history
-        run(spark, args.candles, args.events, args.gold, *([args.date] if daily else []))
+        day = [args.date] if daily else []
+        run(spark, args.candles, args.events, args.gold, *day, slots=args.slots)
     elif args.job == "land":
         land(spark, args.archives, args.raw, args.date)
     else:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +17,8 @@ def worst_countries() -> Column:
     return F.max(F.struct("geo_score_raw", "actor_countries")).getField("actor_countries")
 
 
-def slot_scores(events: DataFrame, floor: bool = False) -> DataFrame:
-    """One row per slot: score sums, event count, countries of the worst event.
+def slot_states(events: DataFrame, floor: bool = False, keys: Sequence[str] = ()) -> DataFrame:
+    """Per slot what can be added up later: score sums, event count, the worst event.
 
     Feeds stamp events on the slot grid already; ``floor`` puts others there.
     Events without a timestamp belong to no slot and stay out. Sums, counts and
@@ -25,13 +27,29 @@ def slot_scores(events: DataFrame, floor: bool = False) -> DataFrame:
     stamped = events.where(F.col("DATEADDED").isNotNull())
     if floor:
         stamped = stamped.withColumn("DATEADDED", floor_slot("DATEADDED"))
-    return stamped.groupBy("DATEADDED").agg(
+    return stamped.groupBy("DATEADDED", *keys).agg(
         *[F.sum(c).alias(c) for c in SCORE_COLUMNS],
         F.count(F.lit(1)).alias("event_count"),
-        worst_countries().alias("actor_countries"),
+        F.max(F.struct("geo_score_raw", "actor_countries")).alias("worst"),
     )
 
 
+def merged_slots(states: DataFrame) -> DataFrame:
+    """One row per slot from states of parts of its events, as `slot_scores` gives it."""
+    return states.groupBy("DATEADDED").agg(
+        *[F.sum(c).alias(c) for c in SCORE_COLUMNS],
+        F.sum("event_count").alias("event_count"),
+        F.max("worst").getField("actor_countries").alias("actor_countries"),
+    )
+
+
+def slot_scores(events: DataFrame, floor: bool = False) -> DataFrame:
+    """One row per slot: score sums, event count, countries of the worst event."""
+    states = slot_states(events, floor)
+    worst = F.col("worst").getField("actor_countries").alias("actor_countries")
+    return states.select("DATEADDED", *SCORE_COLUMNS, "event_count", worst)
+
+
 def join_timeline(candles: DataFrame, slots: DataFrame) -> DataFrame:
     """Full outer join of candles and slots on their timestamp.
 

@@ -72,17 +72,17 @@ def explode_countries(gold: DataFrame) -> DataFrame:
 
 
 def candle_scores(
-    candles: DataFrame, events: DataFrame, rules: GoldRules = GoldRules()
+    candles: DataFrame, events: DataFrame, rules: GoldRules = GoldRules(), slots: bool = False
 ) -> DataFrame:
     """The index before the split by country: one row per open candle.
 
     Every open candle gets a period (it is its own target), so its place in the
     series is already known from the candles; the rolling window needs no second
-    pass over the events.
+    pass over the events. ``slots`` says that ``events`` are scores per slot already.
     """
-    slots = slot_scores(events, rules.floor_slots)
+    scores = events if slots else slot_scores(events, rules.floor_slots)
     bucket = rules.bucket_seconds
-    periods = smooth_periods(assign_periods(candles, slots, bucket), rules.alpha)
+    periods = smooth_periods(assign_periods(candles, scores, bucket), rules.alpha)
     placed = with_position(open_candles(candles), "Datetime", "_position", bucket_seconds=bucket)
     return rolling_score(join_periods(placed, periods), "_position", rules).drop("_position")
 
@@ -92,9 +92,10 @@ def stress_index(
     events: DataFrame,
     rules: GoldRules = GoldRules(),
     sort: bool = False,
+    slots: bool = False,
 ) -> DataFrame:
-    """The full index over all given candles and events."""
-    gold = explode_countries(candle_scores(candles, events, rules)).select(*GOLD.names)
+    """The full index over all given candles and events (or scores per slot, with ``slots``)."""
+    gold = explode_countries(candle_scores(candles, events, rules, slots)).select(*GOLD.names)
     return gold.orderBy("Datetime") if sort else gold
 
 
@@ -118,6 +119,7 @@ def day_index(
     rules: GoldRules = GoldRules(),
     context_days: int | None = None,
     start: dt.datetime | None = None,
+    slots: bool = False,
 ) -> DataFrame:
     """The index of one day, computed from the context it depends on.
 
@@ -128,6 +130,7 @@ def day_index(
 
     ``start`` is the value of ``context_start``, for a caller who knows it; else it
     is found with one job, so that the plan and the scans get it as a literal.
+    ``slots`` says that ``events`` are scores per slot already.
     """
     midnight = F.lit(day).cast("timestamp")
     if context_days is not None:
@@ -142,7 +145,7 @@ def day_index(
             return upto.where(F.col(ts) > F.lit(start)) if start else upto
 
         candles, events = within(candles, "Datetime"), within(events, "DATEADDED")
-    whole = stress_index(candles, events, rules)
+    whole = stress_index(candles, events, rules, slots=slots)
     return whole.where(F.to_date("Datetime") == midnight.cast("date"))
 
 
