@@ -434,3 +434,35 @@ def _(layers):
     jobs.index_history(spark, c, e, g, slots=k)
     rest = lake.read_table(spark, g, GOLD).where(F.to_date("Datetime") != DAY)
     return rest.unionByName(day)
+
+
+@query(
+    "hist_avg_one",
+    """SELECT date_trunc('day', min(Datetime)) AS bucket,
+              CAST((datediff('day', min(Datetime), max(Datetime)) + 1) * 86400 AS INTEGER) AS interval_seconds,
+              round(avg(Volume), 6) AS Volume FROM candle_gold""",
+    digits=6,
+)
+def _(layers):
+    """The automatic interval with a limit of one bucket."""
+    volumes = serving.one_per_candle(layers.stored_gold, ["Volume"])
+    return serving.average_auto(volumes, ["Volume"], max_buckets=1)
+
+
+@query("serve_job", "SELECT count(*) AS written, 'MissingTable' AS without_index FROM gold")
+def _(layers):
+    """Documents of a stored index; without one, or with an empty folder, an error and no documents."""
+    spark, path, out = layers.spark, fresh_folder(layers.spark, "gold"), fresh_folder(layers.spark, "documents")
+    lake.write_whole(layers.gold, path, "Datetime")
+    account = jobs.serve(spark, path, out)
+    errors = set()
+    for missing in (fresh_folder(spark, "nowhere"), empty_folder(layers)):
+        nothing = fresh_folder(spark, "documents")
+        try:
+            jobs.serve(spark, missing, nothing)
+        except lake.MissingTable as error:
+            errors.add(type(error).__name__)
+        assert not lake.has_files(spark, nothing)
+    written = spark.read.text(out)
+    assert account.errors == 0 and account.success == written.count()
+    return written.agg(F.count(F.lit(1)).alias("written"), F.lit(", ".join(errors)).alias("without_index"))

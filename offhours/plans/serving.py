@@ -84,8 +84,13 @@ def average_auto(
 ) -> DataFrame:
     """As ``average_over_time`` with the finest interval that stays within ``max_buckets``.
 
-    Above the listed intervals it is as many whole days as the span asks for.
+    Above the listed intervals it is as many whole days as the span asks for. A limit of 1
+    gives one bucket of whole days, from the first day on, wherever days end.
     """
+    if max_buckets < 1:
+        raise ValueError("at least one bucket is needed")
+    if max_buckets == 1:
+        return _one_bucket(df, fields, ts)
     span = df.agg(F.struct(F.min(F.unix_seconds(ts)), F.max(F.unix_seconds(ts))).alias("s"))
     low, high = F.col("s.col1"), F.col("s.col2")
 
@@ -106,6 +111,17 @@ def average_auto(
     )
 
 
+def _one_bucket(df: DataFrame, fields: Sequence[str], ts: str) -> DataFrame:
+    day = AUTO_INTERVALS[-1]
+    first, last = (F.floor(f(F.unix_seconds(ts)) / day) for f in (F.min, F.max))
+    whole = df.where(F.col(ts).isNotNull()).agg(
+        F.timestamp_seconds(first * day).alias("bucket"),
+        ((last - first + 1) * day).cast("int").alias("interval_seconds"),
+        *[F.avg(c).alias(c) for c in fields],
+    )
+    return whole.where(F.col("bucket").isNotNull())
+
+
 def long_series(buckets: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Buckets as ``(field, bucket, value)``, buckets without a value left out."""
     long = buckets.unpivot(["bucket"], list(fields), "field", "value")

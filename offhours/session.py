@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlsplit
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -45,7 +46,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables, visible to all executors.
 
     It is the one that ``spark.checkpoint.dir`` names. Where that is unset it lies
-    below the warehouse, which executors share as well.
+    below the warehouse, which executors share as well. On a cluster a warehouse in a folder
+    of the driver's own machine is refused: executors would not find each other's files there.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -54,6 +56,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_offhours"
+        if not context.master.startswith("local") and urlsplit(named).scheme in ("", "file"):
+            raise RuntimeError(f"set spark.checkpoint.dir to a shared folder; {named} is one machine's own")
     context.setCheckpointDir(named)
     _gone_at_exit(spark, context.getCheckpointDir())
     return context.getCheckpointDir()
