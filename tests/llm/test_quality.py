@@ -1,4 +1,7 @@
+import math
+import random
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -61,3 +64,47 @@ def test_edges(spark):
     assert {r["mine"] for r in quality.score(docs, none, "mine").collect()} == {0.5}
     assert quality.score(no_documents(spark), none, "mine").count() == 0
     assert quality.fit(docs, labels, sample=1).shape == weights.shape
+
+
+def plain_ftrl(texts, labels, bits, epochs, seed):
+    """Follow-the-regularised-leader, one feature of one example after the other."""
+    rows = []
+    for t in texts:
+        _, numbers = quality.features(pa.array([t]), bits)
+        found = Counter(numbers.tolist())
+        rows.append({i: float(np.float32(c * (quality.SCALE * 5 / max(1, len(numbers))))) for i, c in found.items()})
+        rows[-1][1 << bits] = 1.0  # the constant
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if abs(z[i]) <= quality.L1:
+            return 0.0
+        step = (quality.BETA + math.sqrt(n[i])) / quality.ALPHA + quality.L2
+        return (math.copysign(quality.L1, z[i]) - z[i]) / step
+
+    order = np.random.default_rng(seed)
+    for _ in range(epochs):
+        for r in order.permutation(len(rows)):
+            w = {i: weight(i) for i in rows[r]}
+            dot = sum(w[i] * x for i, x in rows[r].items())
+            p = 1 / (1 + math.exp(-max(-35.0, min(35.0, dot))))
+            for i, x in rows[r].items():
+                g = (p - labels[r]) * x
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / quality.ALPHA
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    out = np.zeros((1 << bits) + 1)
+    for i in z:
+        out[i] = weight(i)
+    return out
+
+
+def test_training_is_ftrl_in_plain_steps():
+    pick = random.Random(8)
+    words = [f"w{i}" for i in range(40)] + ["THE", "12", "a-b"]
+    texts = [" ".join(pick.choice(words) for _ in range(pick.randrange(30))) for _ in range(60)] + ["", "x"]
+    labels = np.array([float("w1 " in t or pick.random() < 0.3) for t in texts])
+    found = quality.train(pa.array(texts), labels, 12, 3, 5)
+    wanted = plain_ftrl(texts, labels, 12, 3, 5)
+    assert np.allclose(found, wanted, rtol=1e-6, atol=1e-9)
+    assert ((found != 0) == (wanted != 0)).all() and 0 < (found != 0).sum() < len(found) / 2
