@@ -16,7 +16,9 @@ the table as it was.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import logging
+from bisect import bisect_left
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -39,6 +41,7 @@ from offhours.sources.lake import (
     MissingTable,
     read_day,
     read_table,
+    stored_days,
     write_days,
     write_whole,
 )
@@ -145,8 +148,9 @@ def candles_history(spark: SparkSession, raw: str, silver: str) -> bool:
 def candles_daily(spark: SparkSession, raw: str, silver: str, day: str) -> bool:
     """Merge one landed day into the clean candle table.
 
-    The change in percent links a day to the last close before it, so the
-    latest earlier day is read along, and the day after is rewritten with it.
+    The change in percent links a day to the last close before it, so of each day that the
+    landed candles belong to the day before is read along, and the day after is rewritten
+    with it; days in between, if they are far apart, are left alone.
     """
     try:
         existing = read_table(spark, silver, schemas.SILVER_CANDLES, day_column=True)
@@ -156,19 +160,20 @@ def candles_daily(spark: SparkSession, raw: str, silver: str, day: str) -> bool:
     if landed is None:
         log.info("no candles landed on %s", day)
         return False
-    this = F.lit(day).cast("date")
     # Days of the landed candles themselves: a feed day may hold late ones.
-    touched = landed.agg(F.min("Datetime").cast("date"), F.max("Datetime").cast("date")).first()
-    low, high = (F.lit(d) if d else this for d in touched)
-    days = existing.agg(
-        F.max(F.when(F.col(DAY) < low, F.col(DAY))), F.min(F.when(F.col(DAY) > high, F.col(DAY)))
-    ).first()
-    before, after = days
-    lower = F.lit(before) if before else low
-    upper = F.lit(after) if after else high
-    near = existing.where(F.col(DAY).between(lower, upper)).drop(DAY)
+    own = landed.select(F.to_date("Datetime").alias("day")).where(F.col("day").isNotNull()).distinct()
+    touched = {r["day"] for r in own.collect()} or {dt.date.fromisoformat(day)}
+    days = sorted(stored_days(spark, silver) | touched)
+
+    def beside(some: set[dt.date], step: int) -> set[dt.date]:
+        places = [bisect_left(days, d) + step for d in some]
+        return {days[i] for i in places if 0 <= i < len(days)}
+
+    affected = touched | beside(touched, 1)
+    context = affected | beside(affected, -1)
+    near = existing.where(F.col(DAY).isin(*[F.lit(d) for d in context])).drop(DAY)
     merged = merge_candles(near, landed)
-    changed = merged.where(F.to_date("Datetime").between(low, upper))
+    changed = merged.where(F.to_date("Datetime").isin(*[F.lit(d) for d in affected]))
     _logged(changed, "Datetime", lambda df: write_days(df, silver, "Datetime"), "candles replaced")
     return True
 

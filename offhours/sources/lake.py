@@ -6,6 +6,7 @@ step, and readers keep the version they began with. Others are plain folders of
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -100,6 +101,15 @@ def read_days(
     return _read(spark, path, schema, True, days).where(F.col(DAY).isin(*wanted)).drop(DAY)
 
 
+def stored_days(spark: SparkSession, path: str) -> set[dt.date]:
+    """The days that a table has folders for; no data file is opened."""
+    version = versions.current(spark, path)
+    found = version.days() if version else {
+        n.removeprefix(f"{DAY}=") for n in versions.names(spark, path) if n.startswith(f"{DAY}=")
+    }
+    return {dt.date.fromisoformat(d) for d in found if d != versions.NO_DAY}
+
+
 def read_folders(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from offhours import jobs
 from offhours.operators.slots import slot_scores
 from offhours.plans import kept
-from offhours.schemas import GOLD, SILVER_CANDLES, SILVER_EVENTS
+from offhours.schemas import GOLD, SILVER_CANDLES, SILVER_EVENTS, TYPED_CANDLES
 from offhours.sources import versions
 from offhours.sources.lake import MissingTable, read_table, write_days, write_whole
 
@@ -99,3 +99,27 @@ def test_tables_without_versions_are_refused(spark, tmp_path):
     write_days(some_events(spark, 5, 1), e, "DATEADDED")
     with pytest.raises(MissingTable):
         kept.update_slots(spark, e, str(tmp_path / "slots"))
+
+
+def test_a_stray_old_candle_rewrites_two_days(spark, tmp_path):
+    raw, silver = str(tmp_path / "raw"), str(tmp_path / "silver")
+
+    def typed(*days, close=1.0):
+        rows = [(START + dt.timedelta(days=d, hours=10 + h), 1.0, 2.0, 0.5, close + h, 10) for d in days for h in range(2)]
+        return spark.createDataFrame(rows, TYPED_CANDLES)
+
+    write_days(typed(0, 1, 2, 5, 6, 7, 8), raw, "Datetime")
+    assert jobs.candles_history(spark, raw, silver)
+    before = versions.current(spark, silver)
+    late = typed(3, close=50.0).unionByName(typed(9))
+    # Both come with the feed of the ninth day.
+    folder = str(tmp_path / "feed")
+    late.write.parquet(f"{folder}/date=2026-02-10")
+    assert jobs.candles_daily(spark, folder, silver, "2026-02-10")
+    after = versions.current(spark, silver)
+    changed = {f.rsplit("=", 1)[1] for f in set(after.folders) - set(before.folders)}
+    assert changed == {"2026-02-04", "2026-02-06", "2026-02-10"}
+    write_days(late, raw, "Datetime")
+    whole = str(tmp_path / "whole")
+    assert jobs.candles_history(spark, raw, whole)
+    assert rows_of(read_table(spark, silver, SILVER_CANDLES)) == rows_of(read_table(spark, whole, SILVER_CANDLES))
