@@ -287,7 +287,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "index":
         run = index_daily if daily else index_history
         day = [args.date] if daily else []
-        run(spark, args.candles, args.events, args.gold, *day, slots=args.slots)
+        kept = {"slots": args.slots} if args.slots else {}
+        run(spark, args.candles, args.events, args.gold, *day, **kept)
     elif args.job == "land":
         land(spark, args.archives, args.raw, args.date)
     else:
