@@ -1,4 +1,6 @@
 import heapq
+import random
+import time
 
 import numpy as np
 import pytest
@@ -127,3 +129,28 @@ def test_a_word_has_more_than_a_few_segmentations_and_the_rate_holds():
         a = Encoder(MODEL, 0.1, 5, pieces.VARIANTS, cache=cache)
         assert [a.encode([text], [s])[0] for s in (1, 2)] == coder.encode([text, text], [1, 2])
     assert Encoder(MODEL, 0.1, 6, pieces.VARIANTS).encode([text], [1]) != coder.encode([text], [2])
+
+
+def test_a_long_line_without_spaces(library):
+    """200,000 letters: a heap of its own, the same as the agendas that run together."""
+    pick = random.Random(6)
+    line = "".join(pick.choice("abcdefghijklmnopqrstuvwxyzABCDEFGH") for _ in range(200_000))
+    book = pieces.pieces(MODEL)
+    assert [len(s) for s in book.segment.findall(" " + line)] == [200_001]
+    assert as_list(Encoder(MODEL, 0.0, 1, None).encode([line], [0])[0]) == library.encode(line)
+    coder = Encoder(MODEL, 0.1, 3, None)
+    started = time.process_time()
+    counts, values = coder.flat([line], [5])
+    assert time.process_time() - started < 60
+    assert book.lossless(values, counts, [line]) == [True] and len(values) > len(library.encode(line))
+
+
+def test_heap_and_blocks_agree(library):
+    pick = random.Random(7)
+    segments = [" " + "".join(pick.choice("etaoinshr") for _ in range(n)) for n in (240, 255, 256, 300, 700)]
+    coder = Encoder(MODEL, 0.2, 9, None)
+    book, keys = coder.vocabulary, np.arange(5, dtype=np.uint64) * np.uint64(77)
+    together = book._block([s.replace(" ", "▁") for s in segments], keys, coder.rate, [])
+    assert book.encode_segments(segments, keys, coder.rate) == together
+    for s, k, ids in zip(segments[:3], keys.tolist(), together):
+        assert as_list(ids) == one_by_one(book, library, s, k, coder.rate)
