@@ -150,9 +150,12 @@ def token_counts(
         sizes = pc.binary_length(pc.fill_null(batch.column(3), "").cast(pa.binary()))
         some, more = batch.num_rows, left.num_rows
         of = pa.concat_arrays([pa.array(np.arange(some)), left.column("row").combine_chunks()])
+        # Only a document's own row bears its id; the others are told apart by hashes.
+        ids = pa.concat_arrays([batch.column(0), pa.nulls(more, batch.column(0).type)])
         return pa.RecordBatch.from_arrays(
             [
-                *[batch.column(i).take(of) for i in range(3)],
+                ids,
+                *[batch.column(i).take(of) for i in (1, 2)],
                 pa.concat_arrays([sizes.cast(pa.int64()), pa.nulls(more, pa.int64())]),
                 pa.concat_arrays([pa.array(np.diff(ends)), left.column("count_all").combine_chunks()]),
                 pa.concat_arrays([pa.nulls(some, pa.string()), left.column("pre_token").combine_chunks()]),
@@ -171,10 +174,10 @@ def token_counts(
     text = column(docs, text)
     parts = docs.select(
         column(docs, id_column).alias("id"),
-        F.xxhash64(text).alias("h1"),
-        F.xxhash64(F.lit(7), text).alias("h2"),
+        F.xxhash64(column(docs, id_column), text).alias("h1"),
+        F.hash(column(docs, id_column), text).alias("h2"),
         text.alias("text"),
-    ).mapInArrow(run, f"id {kind}, h1 long, h2 long, n_bytes long, n long, pre_token string")
+    ).mapInArrow(run, f"id {kind}, h1 long, h2 int, n_bytes long, n long, pre_token string")
     # A document's own row joins nothing: its key is no pre-token and only has to be spread.
     own = F.concat(F.lit("  ▁"), F.monotonically_increasing_id().cast("string"))
     joined = parts.withColumn("key", F.coalesce("pre_token", own)).join(
@@ -182,8 +185,8 @@ def token_counts(
     )
     tokens = F.sum(F.col("n") * F.coalesce("pieces", F.lit(1)))
     # Rows with one id and text have the same count: the sum over them all is shared out.
-    each = joined.groupBy("id", "h1", "h2").agg(
-        F.max("n_bytes").alias("n_bytes"), F.count("n_bytes").alias("copies"), tokens.alias("all")
+    each = joined.groupBy("h1", "h2").agg(
+        F.max("id").alias("id"), F.max("n_bytes").alias("n_bytes"), F.count("n_bytes").alias("copies"), tokens.alias("all")
     )
     counted = each.select(
         F.col("id").alias(id_column), "n_bytes", F.expr("all div copies").alias("n_tokens"), "copies"
