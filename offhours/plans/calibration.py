@@ -100,11 +100,13 @@ def best_alphas(grid: DataFrame, size: int = 5) -> DataFrame:
 
 
 def calibrate_alpha(grid: DataFrame, current_alpha: float = 0.80) -> DataFrame:
-    """One row: the best alpha, and its gain over the current one."""
+    """One row: the best alpha, and its gain over the current one; none where the grid has none."""
     strongest = F.max(F.struct("abs_rho", (-F.col("alpha")).alias("_tie"), "alpha", "spearman_rho"))
     is_current = F.abs(F.col("alpha") - current_alpha) < 1e-9
     current = F.max(F.when(is_current, F.col("spearman_rho")))
-    return grid.agg(strongest.alias("_best"), current.alias("current_rho")).select(
+    # An aggregate of no rows is a row of nulls.
+    best = grid.agg(strongest.alias("_best"), current.alias("current_rho")).where("_best IS NOT NULL")
+    return best.select(
         F.col("_best.alpha").alias("alpha"),
         F.col("_best.spearman_rho").alias("spearman_rho"),
         "current_rho",

@@ -166,6 +166,12 @@ def test_grid_matches_brute_force(spark, dedup, absolute):
     assert calibration.best_alphas(grid).count() == 5
 
 
+def test_no_best_alpha_without_reopenings(layers):
+    _, _, gold = layers
+    grid = calibration.alpha_grid(gold.where("gap_duration_15m = 1"))
+    assert calibration.calibrate_alpha(grid).collect() == calibration.best_alphas(grid).collect() == []
+
+
 def test_document_types_and_missing_columns(layers):
     _, _, gold = layers
     assert gold.schema.simpleString() == GOLD.simpleString()
