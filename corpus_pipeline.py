@@ -42,10 +42,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``ids``, ``n_ids``, ``lossless``, and ``slot`` and ``start``, which sort to the mixture.
 
-    Files that are read again come in any order, so the places are derived once more:
-    they are fixed by ids, texts, sources and seed.
+    Both are read off the files of the stage before: ``slot`` is a document's number in
+    them, ``start`` its first byte among those of its source.
     """
-    placed = mixing.mixed(docs.select("doc_id", "source", "text"))
+    placed = mixing.in_file_order(docs)
     return pieces.encode(placed.select("doc_id", "text", "mix.slot", "mix.start"), kept=("slot", "start"))
 
 

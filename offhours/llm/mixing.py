@@ -24,10 +24,11 @@ from collections.abc import Mapping
 from fractions import Fraction
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offhours.llm.shared import column, table
+from offhours.llm.shared import column, stored, table
 
 BLOCK_BYTES = 1 << 18
 # Weights below 1 in this many count as that, so that places fit into 64 bits.
@@ -37,6 +38,8 @@ LEFT = 1 / 1000
 POWER = 0.5
 SEED = 1
 _BUCKET_BITS = 12
+# Rows of a file that are numbered together.
+_RUN_ROWS = 4096
 
 
 def shares(weights: Mapping[str, float], period: int) -> dict[str, int]:
@@ -109,6 +112,11 @@ def _source(docs: DataFrame) -> Column:
     return F.concat(F.lit("="), column(docs, "source").cast("string"))
 
 
+def _size(docs: DataFrame) -> Column:
+    """Bytes of the text, 1 at least."""
+    return F.greatest(F.octet_length(F.coalesce(column(docs, "text"), F.lit(""))), F.lit(1)).cast("long")
+
+
 def _targets(frame: pa.Table, weights: Mapping[str, float] | None, power: float, least: float) -> dict[str, float]:
     """The weight of each source of ``frame`` (``source``, ``bytes``), not yet in proportion to all."""
     natural = {
@@ -197,13 +205,12 @@ def mixed(
     it whole: rows are ordered inside ``2 ** 12`` ranges of their hash, and ranges
     are offset by the sizes of those before.
     """
-    size = F.greatest(F.octet_length(F.coalesce(column(docs, "text"), F.lit(""))), F.lit(1)).cast("long")
     key = F.xxhash64(column(docs, "doc_id").cast("string"), F.lit(seed))
     kept = [column(docs, c) for c in docs.columns if c.lower() != "mix"]
     rows = docs.select(
         F.struct(*kept).alias("doc"),
         F.coalesce(_source(docs), F.lit("-")).alias("source"),
-        size.alias("size"),
+        _size(docs).alias("size"),
         key.alias("key"),
         F.shiftright(key, 64 - _BUCKET_BITS).cast("int").alias("bucket"),
         F.xxhash64(column(docs, "text")).alias("tie"),
@@ -272,6 +279,52 @@ def interleaved(docs: DataFrame, weights: Mapping[str, float] | None = None, **o
     return placed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(name)
 
 
+def in_file_order(docs: DataFrame) -> DataFrame:
+    """``docs`` with the place of each row in its files, in the struct ``mix``.
+
+    The files are taken one after the other, as `interleaved` has them written, whatever
+    order they are read in. ``slot`` is the row's number in that order, from 0, and
+    ``start`` its first byte among the rows of its source (sizes as in `mixed`). A table
+    that is not one of Parquet files is written first. ``mix`` replaces a column of that name.
+    """
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        docs = stored(docs, "file-order")
+    kept = [column(docs, c) for c in docs.columns if c.lower() != "mix"]
+    file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    rows = docs.select(
+        F.struct(*kept).alias("doc"),
+        F.coalesce(_source(docs), F.lit("-")).alias("source"),
+        _size(docs).alias("size"),
+        file.alias("file"),
+        row.alias("row"),
+        F.floor(row / _RUN_ROWS).alias("run"),
+    )
+    runs = rows.groupBy("file", "run", "source").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+    # Numbers of more than five digits would not sort as text.
+    part = F.regexp_extract("file", r"part-(\d+)[^/]*$", 1).try_cast("long")
+
+    def before(window, what: str) -> Column:
+        return F.coalesce(F.sum(what).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    # A row per file.
+    files = runs.groupBy("file").agg(F.sum("n").alias("n"))
+    files = files.select("file", before(Window.orderBy(part, "file"), "n").alias("first"))
+    offsets = runs.select(
+        "file", "run", "source", before(Window.partitionBy("source").orderBy(part, "file", "run"), "bytes").alias("offset")
+    ).join(files, "file")
+    inside = before(Window.partitionBy("file", "run", "source").orderBy("row"), "size")
+    return (
+        rows.withColumn("inside", inside)
+        .join(offsets, ["file", "run", "source"])
+        .select(
+            "doc.*",
+            F.struct((F.col("first") + F.col("row")).alias("slot"), (F.col("offset") + F.col("inside")).alias("start")).alias("mix"),
+        )
+    )
+
+
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
         "doc_id", "source", "mix.*"

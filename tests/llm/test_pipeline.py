@@ -1,6 +1,7 @@
 """Each stage against what it is meant to do, on the rows that its predecessor kept."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from offhours.llm.shared import stored
@@ -92,3 +93,12 @@ def test_the_order_of_the_mixture_reaches_the_output(spark, steps):
         assert r["start"] == at.get(s, 0)
         assert owner.setdefault(r["slot"], (s, r["start"] // BLOCK_BYTES)) == (s, r["start"] // BLOCK_BYTES)
         at[s] = r["start"] + size[r["doc_id"]]
+
+
+@pytest.mark.parametrize("order", ["doc_id", "doc_id DESC", "crc32(encode(doc_id, 'utf-8'))"])
+def test_the_last_stage_takes_the_order_that_it_is_given(spark, steps, order):
+    key = F.expr(order)
+    given = steps[3].repartitionByRange(3, key).sortWithinPartitions(key)
+    found = corpus_pipeline.encode_pieces(spark, stored(given, "order"), SF).collect()
+    rows = {r["slot"]: r["doc_id"] for r in found}
+    assert [rows[n] for n in range(len(found))] == [r["doc_id"] for r in steps[3].sort(key).collect()]
