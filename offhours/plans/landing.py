@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from offhours.functions.moments import compact_timestamp
 from offhours.operators.slots import slot_completeness
 from offhours.schemas import RAW_EVENTS
-from offhours.session import delete_folder, materialize
+from offhours.session import delete_folder, fresh_folder, materialize
 from offhours.sources.exports import (
     export_files,
     list_archives,
@@ -216,15 +216,23 @@ def land_rows(rows: DataFrame, raw_path: str, run: str | None = None, replace: b
     spark, run = rows.sparkSession, run or _new_run()
     columns = [c for c in rows.columns if c not in ("archive", "member")]
     named = rows.select(*columns, file_name("archive").alias(ARCHIVE))
-    named = named.withColumns({DAY: _day_of(F.col(ARCHIVE)), RUN: F.lit(run)})
-    new = materialize(named) if replace else named
-    _write_run(new, raw_path, "append")
-    if replace:
-        landed = new.select(ARCHIVE).distinct()
-        _drop_former(spark, raw_path, landed, [r[0] for r in new.select(DAY).distinct().collect()], run)
+    _write_run(named.withColumns({DAY: _day_of(F.col(ARCHIVE)), RUN: F.lit(run)}), raw_path, "append")
+    if replace and has_files(spark, raw_path):
+        # What was written is read, so that the archives are unpacked once.
+        new = _landed_rows(spark, raw_path).where(F.col(RUN) == run)
+        days = [r[0] for r in new.select(DAY).distinct().collect()]
+        _drop_former(spark, raw_path, new.select(ARCHIVE).distinct(), days, run)
     spark.catalog.refreshByPath(raw_path)
 
 
+def _landed_rows(spark: SparkSession, raw_path: str) -> DataFrame:
+    """The raw table with the columns that its folders go by."""
+    schema = T.StructType(
+        [*RAW_EVENTS.fields, *(T.StructField(c, T.StringType()) for c in (ARCHIVE, RUN)), T.StructField(DAY, T.DateType())]
+    )
+    return spark.read.schema(schema).parquet(raw_path)
+
+
 def _write_run(rows: DataFrame, raw_path: str, mode: str) -> None:
     (
         rows.hint("rebalance", F.col(DAY))
@@ -240,27 +248,36 @@ def _drop_former(
 ) -> None:
     """Take the rows of archives out of all landings but one, in the given days (None: any).
 
-    The days are literals, so other days are not listed as input; of the folders that hold
-    such an archive the rest is written anew, and no other folder.
+    The days are literals, so other days are not listed as input. Only names are read to find
+    the folders that hold such an archive; those that hold nothing else go, of the others the
+    rest is written anew, all at once, and no other folder.
     """
     if not has_files(spark, raw_path):
         return
-    schema = T.StructType(
-        [*RAW_EVENTS.fields, *(T.StructField(c, T.StringType()) for c in (ARCHIVE, RUN)), T.StructField(DAY, T.DateType())]
-    )
-    raw = spark.read.schema(schema).parquet(raw_path).where(F.col(RUN) != run)
+    raw = _landed_rows(spark, raw_path).where(F.col(RUN) != run)
     if days is not None:
         dated = [F.lit(d) for d in days if d is not None]
         raw = raw.where(F.col(DAY).isin(*dated) | (F.col(DAY).isNull() if None in days else F.lit(False)))
-    folders = raw.select(ARCHIVE, DAY, RUN).join(archives, ARCHIVE, "left_semi").select(DAY, RUN).distinct().collect()
-    for day in {r[DAY] for r in folders}:
-        runs = [r[RUN] for r in folders if r[DAY] == day]
-        inside = raw.where(F.col(DAY).eqNullSafe(F.lit(day)) & F.col(RUN).isin(runs))
-        kept = materialize(inside.join(archives, ARCHIVE, "left_anti"))
-        left = {r[0] for r in kept.select(RUN).distinct().collect()}
-        _write_run(kept, raw_path, "overwrite")
-        for gone in set(runs) - left:
-            delete_folder(spark, f"{raw_path.rstrip('/')}/{DAY}={day or '__HIVE_DEFAULT_PARTITION__'}/{RUN}={gone}")
+    gone = F.coalesce("_gone", F.lit(False))
+    held = (
+        raw.select(ARCHIVE, DAY, RUN)
+        .distinct()
+        .join(archives.select(ARCHIVE, F.lit(True).alias("_gone")), ARCHIVE, "left")
+        .groupBy(DAY, RUN)
+        .agg(F.bool_or(gone).alias("some"), F.bool_and(gone).alias("whole"))
+    )
+    folders = held.where("some").collect()
+    torn = [(r[DAY], r[RUN]) for r in folders if not r["whole"]]
+    if torn:
+        names = spark.createDataFrame(torn, f"_day date, {RUN} string")
+        inside = raw.where(F.col(RUN).isin(sorted({r for _, r in torn})))
+        inside = inside.join(F.broadcast(names), [F.col(DAY).eqNullSafe(F.col("_day")), inside[RUN] == names[RUN]], "left_semi")
+        path = fresh_folder(spark, "rest")
+        inside.join(archives, ARCHIVE, "left_anti").write.parquet(path)
+        _write_run(spark.read.schema(raw.schema).parquet(path), raw_path, "overwrite")
+        delete_folder(spark, path)
+    for day, of in [(r[DAY], r[RUN]) for r in folders if r["whole"]]:
+        delete_folder(spark, f"{raw_path.rstrip('/')}/{DAY}={day or '__HIVE_DEFAULT_PARTITION__'}/{RUN}={of}")
 
 
 def landed_slots(spark: SparkSession, raw_path: str) -> DataFrame:

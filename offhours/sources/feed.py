@@ -13,6 +13,7 @@ import io
 import zipfile
 from collections.abc import Iterable, Iterator
 from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 import pyarrow as pa
@@ -144,24 +145,26 @@ def packed(raw: DataFrame) -> DataFrame:
 
 def packed_slots(raw: DataFrame) -> DataFrame:
     """Raw events as the feed delivers them: one zip archive per quarter hour."""
-    place = raw.columns.index("DATEADDED")
 
     def zipped(stamp: str, lines: list[str]) -> bytes:
         content = io.BytesIO()
         with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr(f"{stamp}.export.CSV", "".join(lines))
+            archive.writestr(f"{stamp}.export.CSV", "\n".join(lines) + "\n")
         return content.getvalue()
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for b in batches for row in zip(*[c.to_pylist() for c in b.columns]))
-        for stamp, some in groupby(rows, key=lambda row: row[place]):
-            lines = ["\t".join("" if v is None else v for v in row) + "\n" for row in some]
+        for stamp, some in groupby(rows, key=itemgetter(0)):
+            lines = [line for _, line in some]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f"feed/{stamp}.export.CSV.zip"]), pa.array([zipped(stamp, lines)])],
                 ["path", "content"],
             )
 
-    ordered = raw.repartition("DATEADDED").sortWithinPartitions("DATEADDED")
+    # Lines are put together before Python sees them: two columns instead of all.
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in raw.columns])
+    lines = raw.select(F.col("DATEADDED").alias("stamp"), line.alias("line"))
+    ordered = lines.repartition("stamp").sortWithinPartitions("stamp")
     return ordered.mapInArrow(pack, "path string, content binary")
 
 

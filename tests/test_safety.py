@@ -1,6 +1,7 @@
 """Stored data survives what goes wrong; no row is dropped on the way."""
 
 import datetime as dt
+import io
 import os
 import zipfile
 
@@ -13,9 +14,10 @@ from offhours.operators.ordered import with_position
 from offhours.operators.profile import column_stats, correlation_matrix, histogram, rolling_mean
 from offhours.plans.candles import flatten_header
 from offhours.plans.events import EventRules
-from offhours.plans.landing import land_archives
+from offhours.plans.landing import land_archives, land_rows
 from offhours.plans.serving import average_auto, to_documents
 from offhours.schemas import GOLD, RAW_EVENT_COLUMNS, RAW_EVENTS, SILVER_CANDLES
+from offhours.sources import feed
 from offhours.sources.documents import accounts
 from offhours.sources.exports import read_tsv
 from offhours.sources.lake import EmptyResult, MissingTable, has_files, read_folders, read_table, write_whole
@@ -110,6 +112,44 @@ def test_archives_and_plain_files_are_parsed_alike(spark, tmp_path):
     assert sorted(map(str, read_table(spark, raw, RAW_EVENTS).collect())) == sorted(map(str, plain))
 
 
+def test_landing_again_takes_as_many_jobs_for_more_days(spark, tmp_path):
+    def rows(archives):
+        named = spark.createDataFrame([(a, a) for a in archives], "GlobalEventID string, archive string")
+        blank = [F.lit(None).cast("string").alias(c) for c in RAW_EVENTS.names[1:]]
+        return named.select("GlobalEventID", *blank, F.concat(F.lit("/x/"), "archive").alias("archive"))
+
+    def jobs_of(days):
+        raw = str(tmp_path / f"raw{days}")
+        names = [f"202402{d + 1:02}00{m}00.export.CSV.zip" for d in range(days) for m in ("00", "15")]
+        land_rows(rows(names), raw)
+        spark.sparkContext.setJobGroup(raw, raw)
+        # Of each day's folder one archive comes again, of the last day's both.
+        land_rows(rows(names[::2] + names[-1:]), raw)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert landed(spark, raw) == sorted(names)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(raw))
+
+    assert jobs_of(9) <= jobs_of(2) + 3
+
+
+def test_slots_are_packed_from_whole_lines(spark):
+    raw = spark.createDataFrame(
+        [("1", "20240101000000", None), ("2", "20240101001500", "a b"), ("3", "20240101000000", "c")],
+        "GlobalEventID string, DATEADDED string, SOURCEURL string",
+    )
+    found = feed.packed_slots(raw)
+    texts = {}
+    for r in found.collect():
+        with zipfile.ZipFile(io.BytesIO(r.content)) as archive:
+            texts[r.path] = sorted(archive.read(archive.namelist()[0]).decode().splitlines(keepends=True))
+    assert texts == {
+        "feed/20240101000000.export.CSV.zip": ["1\t20240101000000\t\n", "3\t20240101000000\tc\n"],
+        "feed/20240101001500.export.CSV.zip": ["2\t20240101001500\ta b\n"],
+    }
+    # Python gets two columns, however many there are.
+    assert found._jdf.queryExecution().analyzed().child().output().size() == 2
+
+
 def test_since_is_a_date():
     assert EventRules(since="2026-1").since == dt.date(2026, 1, 1)
     assert EventRules(since="2026-1-9").since == dt.date(2026, 1, 9)
