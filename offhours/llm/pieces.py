@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from offhours.llm.shared import batches, column, table
+from offhours.llm.shared import batches, column, keeps, table
 from offhours.llm.text import mixed
 
 MODEL = "piece_bpe_32k.model"
@@ -537,6 +537,9 @@ def encoder(model: str, rate: float, seed: int, variants: int | None) -> Encoder
     return Encoder(model, rate, seed, variants)
 
 
+keeps(__name__, encoder.cache_clear)
+
+
 def encode(
     docs: DataFrame,
     model: str = MODEL,

@@ -22,7 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from offhours.llm.shared import batches, column, components, sieve, sifted, spare, stored, table
+from offhours.llm.shared import (
+    BATCH_BYTES, batches, begin, column, components, cuts, give_back, sieve, sifted, spare, stored, table,
+)
 from offhours.llm.text import mixed, paired, word_hashes
 
 WIDTH = 3
@@ -81,11 +83,13 @@ def _surveyed(docs: DataFrame, width: int) -> DataFrame:
     """
 
     def run(it):
+        begin(__name__)
         counts = np.zeros(1 << COUNT_BITS, np.uint32)
-        for batch in (b.slice(at, 2000) for b in it for at in range(0, b.num_rows, 2000)):
+        for batch in (b.slice(start, stop - start) for b in it for start, stop in cuts(b, BATCH_BYTES, 2000)):
             sets = shingle_sets(batch.column(2), width)
             first_bits = np.concatenate([*sets, np.empty(0, np.uint64)]) >> np.uint64(64 - COUNT_BITS)
-            counts += np.bincount(first_bits.astype(np.int64), minlength=len(counts)).astype(np.uint32)
+            # In place: the counts of a batch by themselves would be twice as large.
+            np.add.at(counts, first_bits.astype(np.int64), np.uint32(1))
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
@@ -111,6 +115,7 @@ def _surveyed(docs: DataFrame, width: int) -> DataFrame:
                     ],
                     ["kind", "id", "n", "sid", "key", "counts"],
                 )
+        give_back()
 
     kind, id_type = dict(docs.dtypes)["doc_id"], to_arrow_type(docs.schema["doc_id"].dataType)
     rows = docs.select(

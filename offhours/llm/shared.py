@@ -88,19 +88,36 @@ def batches(
     time, at most ``rows`` rows and at least one, which bounds the memory of what it
     derives from them.
     """
+    owner = fn.__module__
 
     def run(it):
+        begin(owner)
         for batch in it:
-            for start, stop in _cuts(batch, size, rows):
+            for start, stop in cuts(batch, size, rows):
                 out = fn(batch.slice(start, stop - start))
                 if out is not None and out.num_rows:
                     yield out
-        _give_back()
+        give_back()
 
     return run
 
 
-def _give_back() -> None:
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(module: str, clear: Callable[[], None]) -> None:
+    """Say that tasks of a module leave something to those after them, and how to let it go."""
+    _KEPT[module] = clear
+
+
+def begin(module: str) -> None:
+    """Let go what tasks of other modules have left in this worker, as it is kept for all stages."""
+    for name, clear in _KEPT.items():
+        if name != module:
+            clear()
+
+
+def give_back() -> None:
     """Give memory that a task has freed back to the system: workers are kept for other stages."""
     pa.default_memory_pool().release_unused()
     try:
@@ -109,7 +126,7 @@ def _give_back() -> None:
         pass
 
 
-def _cuts(batch: pa.RecordBatch, size: int, rows: int) -> Iterator[tuple[int, int]]:
+def cuts(batch: pa.RecordBatch, size: int, rows: int) -> Iterator[tuple[int, int]]:
     """First and one behind the last row of each piece of a batch."""
     weights = np.zeros(batch.num_rows, np.int64)
     for values in batch.columns:

@@ -50,3 +50,13 @@ def test_words_are_cut_at_ascii_white_space_only():
     assert [w.encode() for w in flat.to_pylist()] == [w for ws in expected for w in ws]
     counts, hashes = word_hashes(pa.array(["a b a", "b"]))
     assert hashes[0] == hashes[2] != hashes[1] == hashes[3]
+
+
+def test_a_task_lets_go_what_other_operators_left():
+    from offhours.llm import pieces, shared
+
+    for module, left in ((pieces.__name__, 1), (shared.__name__, 0)):
+        pieces.encoder.cache_clear()
+        pieces.encoder(pieces.MODEL, 0.0, 1, None)
+        shared.begin(module)
+        assert pieces.encoder.cache_info().currsize == left
